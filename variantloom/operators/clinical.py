@@ -123,13 +123,12 @@ def known_samples(samples: DataFrame, patients: DataFrame, on: str | Sequence[st
 
 
 def hpo_matches(gene_terms: DataFrame, patient_terms: DataFrame, gene: str, patient: str, code: str) -> DataFrame:
-    """Number of phenotype codes each affected patient shares with each gene.
+    """Number of (gene, phenotype code) hits of each affected patient.
 
-    Both sides are distinct (owner, code) rows; the equality join on the code is followed by a
-    partially aggregated count."""
-    genes = gene_terms.select(gene, code).distinct()
-    patients = patient_terms.select(patient, code).distinct()
-    return genes.join(patients, code).groupBy(gene, patient).agg(F.count(F.lit(1)).alias("matches"))
+    Genes are counted per code first, so a common code joins as one row and no gene-patient pairs are built."""
+    per_code = gene_terms.select(gene, code).distinct().groupBy(code).agg(F.count(F.lit(1)).alias("_genes"))
+    hits = patient_terms.select(patient, code).distinct().join(per_code, code)
+    return hits.groupBy(patient).agg(F.sum("_genes").alias("matches"))
 
 
 def affected_terms(patients: DataFrame, ped: DataFrame, specimen: str, codes: str, phenotype: str = "phenotype"

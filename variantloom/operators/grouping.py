@@ -38,6 +38,19 @@ def running_total_before(
     )
 
 
+def unnest(df: DataFrame, keep: Sequence[str | Column], structs: str | Column, present: str) -> DataFrame:
+    """One row per struct of an array; ``present`` is a member that is never null.
+
+    The outer form with a filter behind it: for the inner form Spark infers a filter on the array and pushes
+    it below, which would evaluate a computed array twice."""
+    return df.select(*keep, F.inline_outer(structs)).where(F.col(present).isNotNull())
+
+
+def settled(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Adds a computed column that is evaluated once: filters on it are not pushed into its definition."""
+    return df.select("*", F.explode_outer(F.array(value)).alias(name))
+
+
 def page_of(member: Column, page_size: int = PAGE_SIZE) -> Column:
     """Page of a nested list, from a dense whole number such as the sample column index."""
     return F.floor(member / F.lit(page_size)).cast("bigint")

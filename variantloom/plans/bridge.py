@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from variantloom.functions.annotation import RECORD_FIELDS
+from variantloom.operators.legacy import COLUMNS as LEGACY_COLUMNS
 
 TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings",
@@ -142,6 +143,21 @@ def _sample_columns() -> str:
     return ",\n       ".join(columns)
 
 
+FILLED: set[int] = set()
+
+
+def _record_text(j: int) -> str:
+    """SQL text of one record: filled fields with the separators between them."""
+    pieces, gap = [], ""
+    for i in range(len(RECORD_FIELDS)):
+        gap += "|" if i else ""
+        if i in FILLED:
+            pieces += [f"'{gap}'", f"f{j}_{i}"] if gap else [f"f{j}_{i}"]
+            gap = ""
+    tail = f"CASE WHEN bad{j} = 1 THEN '{gap}|x' ELSE '{gap}' END"
+    return f"concat({', '.join([*pieces, tail])})"
+
+
 def _record_columns() -> str:
     """The annotation fields of each record of an extract line; fields not named are empty."""
     columns = []
@@ -185,7 +201,8 @@ def _record_columns() -> str:
             "phyloP17way_primate_rankscore": f"CASE WHEN l_linenumber = 1 THEN '' ELSE concat('0.', {_text('l_partkey % 1000')}) END",
             "rs_dbSNP151": f"concat('rs', {_text('l_partkey')}, CASE WHEN l_linenumber = 3 THEN '&_rs7' ELSE '' END)",
         }
-        columns += [f"{fields.get(name, chr(39) * 2)} AS f{j}_{i}" for i, name in enumerate(RECORD_FIELDS)]
+        columns += [f"{fields[name]} AS f{j}_{i}" for i, name in enumerate(RECORD_FIELDS) if name in fields]
+        FILLED.update(i for i, name in enumerate(RECORD_FIELDS) if name in fields)
         bad = {1: "l_linenumber = 6 AND l_returnflag = 'A'", 2: "l_linenumber = 4 AND l_returnflag = 'N'"}.get(j, "1 = 0")
         columns.append(f"CASE WHEN {bad} THEN 1 ELSE 0 END AS bad{j}")
     return ",\n       ".join(columns)
@@ -206,6 +223,41 @@ SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_returnflag, l_linestatu
 FROM {{lineitem}}"""
 
 _SHORT = "(l_linenumber % 2 = 1 AND (" + " OR ".join(f"g{i} = './.'" for i in range(SAMPLES)) + "))"
+
+# older wide extract: filled columns by name, the other columns are empty
+LEGACY_FIELDS = {
+    "chrom": _chrom("l_suppkey"), "position": _text("l_orderkey * 10 + l_linenumber"),
+    "id": f"CASE WHEN l_linenumber = 1 THEN concat(' rs', {_text('l_partkey')}) ELSE '' END",
+    "reference": "substr('ACGT', cast(l_partkey % 4 + 1 AS int), 1)",
+    "alt": "concat(substr('CGTA', cast(l_partkey % 4 + 1 AS int), 1), CASE WHEN l_partkey % 5 = 0 THEN ',<NON_REF>' ELSE '' END)",
+    "dp": f"CASE WHEN l_linenumber = 7 THEN '' ELSE {_text('cast(l_quantity AS int)')} END",
+    "qual": f"concat({_text('l_linenumber')}, '.5')", "allele": "'G,T'",
+    "effet": f"concat('e', {_text('l_linenumber')}, ',e0')", "impact": "'HIGH,LOW'",
+    "gene": f"concat('SYM', {_text('l_suppkey')}, ', ')", "geneId": f"concat(' ,ENSG', {_text('l_suppkey')})",
+    "featureType": "'transcript,transcript'", "featureId": f"concat('NM_', {_text('l_partkey')}, ',NM_0')",
+    "biotype": "'coding, '", "hgvsC": "'c.1A>G,'", "hgvsP": "',p.Ser1'",
+    "cdnaPos": f"concat({_text('l_linenumber - 1')}, ',5')", "cdnaLen": "'100,200'", "cdsPos": "'0,-1'", "cdsLen": "'30,40'",
+    "aaPos": "',5'", "aaLen": "'7,8'", "distance": f"concat({_text('l_linenumber')}, ',')", "rank": "'1,0'",
+    "errors": "' ,W1'", "lof": "CASE WHEN l_linenumber = 2 THEN 'LOF' ELSE '' END",
+    "snp": "CASE WHEN l_linenumber % 2 = 1 THEN 'true' ELSE 'false' END",
+    "mnp": "CASE WHEN l_linenumber = 3 THEN 'true' ELSE 'false' END",
+    "ins": "CASE WHEN l_linenumber = 4 THEN 'true' ELSE 'false' END",
+    "del": "CASE WHEN l_linenumber IN (4, 5) THEN 'true' ELSE 'false' END",
+    "mixed": "CASE WHEN l_returnflag = 'R' THEN 'true' ELSE 'false' END",
+    "hom": "CASE WHEN l_returnflag = 'A' THEN 'true' ELSE 'false' END",
+    "het": "CASE WHEN l_linestatus = 'O' THEN 'true' ELSE 'false' END",
+    "exAC_AC": f"CASE WHEN l_linenumber = 1 THEN '' ELSE concat({_text('l_suppkey')}, ',9') END",
+    "exAC_AF": f"CASE WHEN l_linenumber <= 2 THEN '' ELSE concat('0.', {_text('l_suppkey')}, ',0.9') END",
+    "GERP___RS": f"concat('1.', {_text('l_linenumber')})",
+    "d1000Gp3_AFR_AF": "CASE WHEN l_linenumber = 5 THEN '0.25' ELSE '' END",
+    "SIFT_pred": "CASE WHEN l_linenumber = 6 THEN 'D,T' ELSE '' END",
+    "gnomAD_exomes_AN": f"CASE WHEN l_linenumber = 4 THEN {_text('l_partkey')} ELSE '' END",
+    "gq": _text("l_orderkey % 99"), "ac2": _text("l_suppkey % 3"), "gt": "'0/1'",
+}
+VIEWS["gx_legacy"] = (
+    "SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_returnflag,\n       "
+    + ",\n       ".join(f"{v} AS v_{k}" for k, v in LEGACY_FIELDS.items()) + "\nFROM {lineitem}"
+)
 EXTRACT_HEADER = (
     "CHROM", "POS", "REF", "ALT", "FILTER", "DP", "MQ", "QD", "GEN[*].GT", "GEN[*].AD", "GEN[*].AF", "GEN[*].DP",
     "GEN[*].FT", "GEN[*].GQ", "GEN[*].SB", "CSQ",
@@ -234,11 +286,7 @@ class Inputs:
             f"CASE WHEN {_SHORT} AND g{i} = './.' THEN {_text(f'r{i}')} ELSE concat({_text(f'r{i}')}, ',', {_text(f'a{i}')}) END"
             for i in samples
         ]
-        records = [
-            "concat(" + f"concat_ws('|', {', '.join(f'f{j}_{i}' for i in range(len(RECORD_FIELDS)))})"
-            + f", CASE WHEN bad{j} = 1 THEN '|x' ELSE '' END)"
-            for j in range(RECORDS)
-        ]
+        records = [_record_text(j) for j in range(RECORDS)]
         cells = {
             "CHROM": "chrom", "POS": _text("pos"), "REF": "ref", "ALT": "alt", "FILTER": "filter", "QD": "qd",
             "GEN[*].GT": f"concat_ws(',', {', '.join(f'g{i}' for i in samples)})",
@@ -247,8 +295,34 @@ class Inputs:
             "CSQ": f"concat_ws(',', {', '.join(records)})",
         }
         line = ", ".join(cells.get(name, "'.'") for name in EXTRACT_HEADER)
+        # a generated column, so that filters on the text are not pushed into its assembly
         return self.view("gx_line").selectExpr(
-            "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", f"concat_ws('\t', {line}) AS value")
+            "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice",
+            f"explode_outer(array(concat_ws('\t', {line}))) AS value")
+
+    def legacy_lines(self) -> DataFrame:
+        """Tab-separated lines of the older 130-column form with their order-line keys."""
+        cells = ", ".join(f"v_{name}" if name in LEGACY_FIELDS else "''" for name in LEGACY_COLUMNS)
+        return self.view("gx_legacy").selectExpr(
+            "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice",
+            f"explode_outer(array(concat_ws('\t', {cells}))) AS value")
+
+    def ranked_report(self) -> DataFrame:
+        """Phenotype-ranked report rows: one gene with up to two variants per order line."""
+        chromosome = F.col("l_suppkey") % 25
+        evaluation = lambda shift, modes: F.struct(
+            F.when(chromosome == 22, 23).otherwise(chromosome + 1).cast("bigint").alias("chromosome"),
+            (F.col("l_orderkey") * 10 + F.col("l_linenumber") + shift).alias("position"),
+            F.substring(F.lit("ACGT"), (F.col("l_partkey") % 4 + 1).cast("int"), F.lit(1)).alias("ref"),
+            F.substring(F.lit("CGTA"), (F.col("l_partkey") % 4 + 1).cast("int"), F.lit(1)).alias("alt"),
+            F.array(*[F.lit(m) for m in modes]).alias("compatibleInheritanceModes"))
+        both = F.array(evaluation(0, ["AD", "AR"]), evaluation(5, ["XR"]))
+        kept = F.when(F.col("l_linenumber") == 7, 0).when(F.col("l_linenumber") % 2 == 0, 1).otherwise(2)
+        return self.table("lineitem").select(
+            "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.concat(F.lit("SYM"), "l_suppkey").alias("geneSymbol"),
+            F.struct(F.concat(F.lit("ENSG"), "l_suppkey").alias("geneId")).alias("geneIdentifier"),
+            (F.col("l_discount") + F.col("l_linenumber") / 1000).alias("combinedScore"),
+            F.slice(both, F.lit(1), kept).alias("variantEvaluations"))
 
     def patient_documents(self) -> DataFrame:
         """One nested patient document per customer."""

@@ -15,7 +15,7 @@ from variantloom.operators import merge as m
 from variantloom.operators.calls import line_frequency, line_lab_frequencies, with_calls
 from variantloom.operators.cohort import donors, lab_members, sample_sheet
 from variantloom.operators.genes import gene_profiles, reconcile_symbol, replaced_symbol
-from variantloom.operators.grouping import last_by_key
+from variantloom.operators.grouping import last_by_key, unnest
 from variantloom.session import checkpoint_dir
 from variantloom.sources.sinks import write_merged, write_table
 
@@ -99,7 +99,7 @@ def with_gene_knowledge(documents: DataFrame, members: DataFrame) -> DataFrame:
     to its uid, where the merge needs it anyway."""
     profiles = gene_profiles(members).withColumn("_id", F.col("ensembl_id"))
     found = (
-        documents.select("uid", F.inline("genes")).where(F.trim("geneSymbol") != "")
+        unnest(documents, ["uid"], "genes", "geneSymbol").where(F.trim("geneSymbol") != "")
         .join(profiles, F.col("ensemblId") == F.col("ensembl_id"), "left")
     )
     old = replaced_symbol(F.col("geneSymbol"), F.col("symbol"))

@@ -8,6 +8,7 @@ from variantloom.functions import annotation as a
 from variantloom.functions.fields import double_or_null, id_list, long_or_null, set_text, text_or_null, yes_flag
 from variantloom.functions.genotype import impact_score
 from variantloom.operators import genes as gn
+from variantloom.operators.grouping import nest, settled, unnest
 from variantloom.operators.validation import annotation_statistics
 from variantloom.plans.bridge import EXTRACT_HEADER, RECORDS, Inputs
 from variantloom.plans.mutation_etl import with_annotations
@@ -135,7 +136,7 @@ def _(t):
 SELECT {KEYS}, pos, symbol, gene_id, consequence, impact, strand, biotype, feature_id, exon, pick, canonical, refseq_id,
  phylop17way FROM rec""", "gx_line")
 def _(t):
-    return annotated(t).select(*LINE, F.inline("annotations")).select(
+    return unnest(annotated(t), LINE, "annotations", "pos").select(
         *LINE, "pos", "symbol", "gene_id", _joined(F.col("consequence")).alias("consequence"), "impact", "strand",
         "biotype", "feature_id", "exon", "pick", "canonical", "refseq_id", "phylop17way")
 
@@ -163,7 +164,7 @@ SELECT {KEYS}, symbol AS "geneAffectedSymbol", CASE WHEN symbol IS NOT NULL THEN
  bool_or(canonical) AS canonical, string_agg(feature_id, ',' ORDER BY pos) AS transcripts
 FROM rec GROUP BY {KEYS}, symbol, aa_change, consequence, cdna_change, strand""", "gx_line")
 def _(t):
-    groups = annotated(t).select(*LINE, F.inline(a.consequence_groups(F.col("annotations"))))
+    groups = unnest(annotated(t), LINE, a.consequence_groups(F.col("annotations")), "pos")
     return groups.select(
         *LINE, "geneAffectedSymbol",
         F.when(F.col("geneAffectedSymbol").isNotNull(), F.coalesce("geneAffectedId", F.lit(""))).alias("gene"),
@@ -194,7 +195,7 @@ last AS (SELECT *, row_number() OVER (PARTITION BY {KEYS} ORDER BY pos DESC) AS
 SELECT {KEYS}, CASE WHEN p1000_af IS NOT NULL THEN p1000_ac END AS p1000_ac, p1000_af,
  CASE WHEN gnomad_af IS NOT NULL THEN gnomad_ac END AS gnomad_ac, gnomad_af FROM last WHERE rn = 1""", "gx_line")
 def _(t):
-    last = annotated(t).withColumn("p", a.last_populations(F.col("annotations"))).where("p IS NOT NULL")
+    last = settled(annotated(t), "p", a.last_populations(F.col("annotations"))).where("p IS NOT NULL")
     return last.select(
         *LINE, F.col("p.1000Gp3.AC").alias("p1000_ac"), F.col("p.1000Gp3.AF").alias("p1000_af"),
         F.col("p.gnomAD_exomes.AC").alias("gnomad_ac"), F.col("p.gnomAD_exomes.AF").alias("gnomad_af"))
@@ -207,7 +208,7 @@ SELECT {KEYS}, pos, CASE WHEN pos = 0 OR l_linenumber % 3 = 0 THEN 0.1 ELSE 0.2
  CASE pos WHEN 0 THEN 'BENIGN' ELSE 'POSSIBLY DAMAGING' END AS polyphen2_hvar, 'NEUTRAL' AS lrt, cadd
 FROM rec WHERE matched AND cadd IS NOT NULL""", "gx_line")
 def _(t):
-    rows = annotated(t).select(*LINE, F.inline("annotations")).where("predictions IS NOT NULL")
+    rows = unnest(annotated(t), LINE, "annotations", "pos").where("predictions IS NOT NULL")
     p = lambda name: F.col(f"predictions.{name}")
     return rows.select(
         *LINE, "pos", p("FATHMM_score").alias("fathmm_score"), p("FATHMM").alias("fathmm"), p("SIFT").alias("sift"),
@@ -217,12 +218,12 @@ def _(t):
 
 @query("protein_coding_change", f"""WITH {KEPT_RECORDS} SELECT {KEYS}, pos, aa_change, cdna_change FROM rec""", "gx_line")
 def _(t):
-    return annotated(t).select(*LINE, F.inline("annotations")).select(*LINE, "pos", "aa_change", "cdna_change")
+    return unnest(annotated(t), LINE, "annotations", "pos").select(*LINE, "pos", "aa_change", "cdna_change")
 
 
 @query("annotation_stats", f"""WITH {KEPT_RECORDS}
 SELECT count(*) AS variants, cast(sum(n) AS bigint) AS annotations, avg(n) AS average FROM (
- SELECT x.l_orderkey, count(pos) AS n FROM gx_line x LEFT JOIN rec USING ({KEYS}) WHERE {PRIMARY}
+ SELECT x.l_orderkey, count(rec.pos) AS n FROM gx_line x LEFT JOIN rec USING ({KEYS}) WHERE {PRIMARY}
  GROUP BY x.l_orderkey, {', '.join(f'x.{k}' for k in LINE[1:])})""", "gx_line")
 def _(t):
     return annotation_statistics(annotated(t), F.col("annotations"))
@@ -305,8 +306,6 @@ SELECT gene_id, cast(floor(site_id / 1000) AS bigint) AS page, count(DISTINCT si
  string_agg(DISTINCT cast(site_id AS string), ',' ORDER BY cast(site_id AS string)) AS ids
 FROM gx_ann WHERE trim(symbol) <> '' GROUP BY gene_id, cast(floor(site_id / 1000) AS bigint)""", "gx_ann")
 def _(t):
-    from variantloom.operators.grouping import nest
-
     rows = gn.distinct_genes(t.view("gx_ann"), ["site_id"]).select("gene_id", "site_id").distinct()
     nested = nest(rows, ["gene_id"], "site_id", [], "variants")
     texts = F.array_sort(F.transform("variants", lambda v: v["site_id"].cast("string")))

@@ -1 +1,174 @@
-"""Placeholder."""
+"""Patient documents, pedigrees, phenotype terms."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, functions as F
+
+from variantloom.functions.genotype import is_affected
+from variantloom.operators import clinical as cl, genes as gn
+from variantloom.plans.bridge import Inputs
+from variantloom.plans.registry import query
+
+
+def _wanted_samples(t: Inputs) -> DataFrame:
+    """Samples the orders ask for: one of the two samples of their customer."""
+    letter = F.when(F.col("o_orderkey") % 2 == 0, "A").otherwise("B")
+    return t.table("orders").select(F.concat(F.lit("SP"), F.col("o_custkey"), letter).alias("specimen")).distinct()
+
+
+WANTED = """wanted AS (SELECT DISTINCT o_custkey AS k, o_orderkey % 2 = 0 AS a,
+ concat('SP', cast(o_custkey AS string), CASE WHEN o_orderkey % 2 = 0 THEN 'A' ELSE 'B' END) AS specimen FROM orders)"""
+
+
+@query("patient_by_id", """
+SELECT concat('PA', cast(c_custkey AS string)) AS id, concat('FA', cast(c_custkey // 3 AS string)) AS "familyId",
+ CASE WHEN c_custkey % 2 = 0 THEN 'female' ELSE 'male' END AS gender FROM customer
+WHERE c_custkey IN (SELECT o_custkey FROM orders)""")
+def _(t):
+    wanted = t.table("orders").select(F.concat(F.lit("PA"), F.col("o_custkey")).alias("id"))
+    return cl.document_by_id(t.patient_documents(), wanted).select("id", "familyId", "gender")
+
+
+@query("patient_search_top1", f"""WITH {WANTED}
+SELECT specimen, concat('PA', cast(k AS string)) AS id FROM wanted JOIN customer ON c_custkey = k""")
+def _(t):
+    return cl.documents_of_samples(t.patient_documents(), _wanted_samples(t)).select("specimen", "id")
+
+
+@query("patient_hpo_terms", """
+SELECT concat('PA', cast(k AS string)) AS id, CASE WHEN k % 5 = 0 THEN '' ELSE concat_ws(',',
+ concat('term ', k, ' (HP:', lpad(cast(k AS string), 9, '0'), ')'),
+ concat('term ', k + 1, ' (HP:', lpad(cast(k + 1 AS string), 9, '0'), ')'),
+ CASE WHEN k % 2 = 0 THEN concat('term ', k + 3, ' (HP:', lpad(cast(k + 3 AS string), 9, '0'), ')') END) END AS terms
+FROM (SELECT c_custkey AS k FROM customer)""")
+def _(t):
+    return t.patient_documents().select(
+        "id", F.array_join(cl.hpo_terms(F.col("clinicalImpressions")), ",").alias("terms"))
+
+
+@query("patient_request_lookup", f"""WITH {WANTED}
+SELECT specimen, concat('PA', k) AS patient_id, concat('ET', c_nationkey) AS study_id,
+ CASE WHEN k % 3 = 0 THEN 'Proband' END AS relation, k % 3 = 0 OR k % 4 = 1 AS affected,
+ CASE WHEN a THEN 'WXS' ELSE 'WGS' END AS strategy, concat('PR', c_nationkey) AS requester_id,
+ concat('OR', c_nationkey) AS requester_org_id, c_mktsegment AS lab_name,
+ CASE WHEN a THEN substr(c_mktsegment, 1, 3) ELSE concat('L', c_nationkey % 4) END AS lab,
+ CASE WHEN k % 5 = 0 THEN concat('P', k % 11) ELSE concat('AS', k % 17) END AS practitioner_id,
+ CASE WHEN k % 5 = 0 THEN concat('OR', k % 13) ELSE concat('OR', k % 7) END AS organization_id
+FROM wanted JOIN customer ON c_custkey = k""")
+def _(t):
+    found = cl.documents_of_samples(t.patient_documents(), _wanted_samples(t))
+    return cl.patient_attributes(found).select(
+        "specimen", "patient_id", "study_id", "relation", "affected", "strategy", "requester_id", "requester_org_id",
+        "lab_name", "lab", "practitioner_id", "organization_id")
+
+
+def _links(t: Inputs) -> DataFrame:
+    return cl.linked_relatives(t.patient_documents())
+
+
+def _patients(t: Inputs) -> DataFrame:
+    documents = t.patient_documents()
+    return documents.select(
+        F.col("id").alias("patient_id"), F.get("serviceRequests", F.lit(0))["specimen"][0]["id"].alias("specimen"),
+        F.when(F.col("isProband"), "Proband").alias("relation"))
+
+
+@query("proband_links", """
+SELECT concat('PA', p.k) AS proband_id, string_agg(concat('PA', r.k), ',' ORDER BY concat('PA', r.k)) AS patients,
+ string_agg(concat('SP', r.k, 'A'), ',' ORDER BY concat('SP', r.k, 'A')) AS specimens
+FROM (SELECT c_custkey AS k FROM customer WHERE c_custkey % 3 = 0) p
+JOIN (SELECT c_custkey AS k FROM customer) r ON r.k IN (p.k + 1, p.k + 2) GROUP BY p.k""")
+def _(t):
+    return cl.proband_links(_links(t), _patients(t)).select(
+        "proband_id", F.array_join("linked_patients", ",").alias("patients"),
+        F.array_join("linked_specimens", ",").alias("specimens"))
+
+
+@query("patient_relations", """
+SELECT concat('PA', c_custkey) AS patient_id,
+ CASE c_custkey % 3 WHEN 0 THEN 'Proband' WHEN 1 THEN 'FTH' ELSE 'MTH' END AS relation FROM customer""")
+def _(t):
+    return cl.with_relations(_patients(t), _links(t)).select("patient_id", "relation")
+
+
+def _terms(t: Inputs) -> DataFrame:
+    patients = t.view("gx_patients").select("specimen", F.array("hpo_a", "hpo_b").alias("codes"))
+    return cl.affected_terms(patients, t.view("gx_ped"), "specimen", "codes")
+
+
+def _gene_terms(t: Inputs) -> DataFrame:
+    hpo = t.view("gx_members").where(F.col("member").startswith("HP:"))
+    return hpo.select("ensembl_id", gn.hpo_code(F.col("member")).alias("code"))
+
+
+MATCHES = """terms AS (SELECT specimen, code FROM (
+ SELECT specimen, hpo_a AS code FROM gx_patients UNION SELECT specimen, hpo_b FROM gx_patients
+ UNION SELECT specimen, phenotype FROM gx_ped WHERE length(phenotype) > 2) JOIN gx_ped USING (specimen) WHERE phenotype <> '1'),
+hits AS (SELECT specimen, cast(count(*) AS bigint) AS matches FROM terms
+ JOIN (SELECT DISTINCT ensembl_id, string_split(member, ',')[1] AS code FROM gx_members WHERE member LIKE 'HP:%') g USING (code)
+ GROUP BY specimen)"""
+
+
+@query("hpo_match_count", f"WITH {MATCHES} SELECT * FROM hits", "gx_patients", "gx_ped", "gx_members")
+def hpo_match_count(t):
+    return cl.hpo_matches(_gene_terms(t), _terms(t), "ensembl_id", "specimen", "code")
+
+
+@query("donor_phenotypes", f"""WITH {MATCHES}
+SELECT specimen, CASE WHEN phenotype <> '1' AND coalesce(matches, 0) > 0 THEN concat_ws(',', hpo_a, hpo_b,
+ CASE WHEN length(phenotype) > 2 THEN phenotype END) END AS phenotypes
+FROM gx_patients JOIN gx_ped USING (specimen) LEFT JOIN hits USING (specimen)""", "gx_patients", "gx_ped", "gx_members")
+def _(t):
+    rows = t.view("gx_patients").join(t.view("gx_ped"), "specimen").join(hpo_match_count(t), "specimen", "left")
+    terms = cl.donor_phenotypes(
+        F.array("hpo_a", "hpo_b"), F.col("phenotype"), is_affected(F.col("phenotype")),
+        F.coalesce("matches", F.lit(0)))
+    return rows.select("specimen", F.array_join(terms, ",").alias("phenotypes"))
+
+
+# ---- samples against pedigree and patients ------------------------------------------------------
+
+def _samples(t: Inputs) -> DataFrame:
+    key = F.col("c_custkey")
+    return t.table("customer").select(key.alias("idx"), F.concat(F.lit("SP"), key).alias("specimen"))
+
+
+def _ped(t: Inputs) -> DataFrame:
+    return t.view("gx_ped").select(
+        F.concat(F.lit("sp"), F.col("specimen")).alias("id"), "family_id", "sex", "phenotype")
+
+
+@query("sample_pedigree", """
+SELECT c_custkey AS idx, family_id, sex, phenotype FROM customer JOIN gx_ped ON specimen = c_custkey""", "gx_ped")
+def _(t):
+    return cl.by_pedigree_id(_samples(t), _ped(t), "specimen", "id").select("idx", "family_id", "sex", "phenotype")
+
+
+@query("missing_pedigree", """
+SELECT concat('SP', c_custkey) AS specimen FROM customer WHERE c_custkey NOT IN (SELECT specimen FROM gx_ped)""", "gx_ped")
+def _(t):
+    known = _ped(t).select(F.upper("id").alias("specimen"))
+    return cl.missing_from(_samples(t), known, "specimen").select("specimen")
+
+
+@query("required_pedigree", """
+SELECT specimen, count(*) AS sites FROM gx_calls JOIN gx_ped USING (specimen) GROUP BY specimen""", "gx_calls", "gx_ped")
+def _(t):
+    calls = t.view("gx_calls").groupBy("specimen").agg(F.count(F.lit(1)).alias("sites"))
+    ped = t.view("gx_ped").select(F.col("specimen").alias("id"))
+    return cl.require_pedigree(calls, ped, "specimen", "id").select("specimen", "sites")
+
+
+@query("missing_patient", """
+SELECT c_custkey AS idx FROM customer WHERE c_custkey IN (SELECT specimen FROM gx_patients)""", "gx_patients")
+def _(t):
+    patients = t.view("gx_patients").select(F.concat(F.lit("SP"), F.col("specimen")).alias("specimen"))
+    return cl.known_samples(_samples(t), patients, "specimen").select("idx")
+
+
+@query("pedigree_patients", """
+SELECT family_id, specimen, patient_id, lab, relation FROM gx_ped JOIN gx_patients USING (specimen)""",
+       "gx_ped", "gx_patients")
+def _(t):
+    return t.view("gx_ped").join(t.view("gx_patients"), "specimen").select(
+        "family_id", "specimen", "patient_id", "lab", "relation")

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 from variantloom.functions import genotype as g
 from variantloom.operators import calls as c
 from variantloom.operators.cohort import donors, lab_members, sample_sheet
+from variantloom.operators.grouping import unnest
 from variantloom.plans import mutation_etl
 from variantloom.plans.bridge import BUILD, EXTRACT_HEADER, SAMPLES, Inputs
 from variantloom.plans.queries_annotations import KEPT_RECORDS
@@ -54,9 +55,9 @@ def _(t):
 
 
 @query("line_frequencies", f"""WITH {SAMPLE_ROWS},
-both AS (SELECT {KEYS}, 'interne' AS lab, gt FROM smp
+tagged AS (SELECT {KEYS}, 'interne' AS lab, gt FROM smp
  UNION ALL SELECT {KEYS}, lab, gt FROM smp JOIN gx_sheet USING (idx))
-SELECT *, {AF} FROM (SELECT {KEYS}, lab, {counters()} FROM both GROUP BY {KEYS}, lab)""", "gx_line", "gx_sheet")
+SELECT *, {AF} FROM (SELECT {KEYS}, lab, {counters()} FROM tagged GROUP BY {KEYS}, lab)""", "gx_line", "gx_sheet")
 def _(t):
     called = _called(t).withColumn("labs", lab_members(t.view("gx_sheet")))
     frequencies = F.map_concat(
@@ -99,7 +100,7 @@ def _(t):
     rows = donors(
         F.col("calls"), F.col("sheet"), F.col("contig"), F.col("filter"), c.quality_by_depth(F.col("qd")),
         F.lit("2020-03-24").cast("date"))
-    return called.select(*LINE, F.inline(rows)).select(
+    return unnest(called, LINE, rows, "idx").select(
         *LINE, "specimenId", "patientId", "familyId", "relation", "filter", "gt", "zygosity", "gq", "qd", "adAlt",
         "adTotal", "adFreq", "genotypeFamily", "origin", F.array_join("transmission", ",").alias("transmission"))
 
