@@ -47,8 +47,8 @@ ID_SETS = {
 
 def split_records(csq: Column) -> Column:
     """Comma list of records -> array of field arrays (trailing empty records dropped)."""
-    records = F.split(F.regexp_replace(csq, ",+$", ""), ",")
-    return F.transform(records, lambda r: F.split(r, "[|]", -1))
+    records = F.split(F.rtrim(csq, F.lit(",")), ",")
+    return F.transform(records, lambda r: F.split(r, r"\|", -1))
 
 
 def is_well_formed(fields: Column) -> Column:
@@ -128,18 +128,24 @@ def prediction_table(records: Column, source: Column) -> Column:
     return F.flatten(F.transform(picked, transcript_predictions))
 
 
-def parse_records(records: Column, predictions: Column, source: Column, ref: Column, alt: Column) -> Column:
-    """Typed annotation structs. A record sees the prediction table only from position ``source`` on."""
+def matched_predictions(records: Column, predictions: Column, source: Column) -> Column:
+    """Per record the prediction entry of its transcript. The table counts only from position ``source`` on."""
+    return F.transform(records, lambda fields, i: F.when(
+        (source >= 0) & (i >= source),
+        F.try_element_at(F.filter(predictions, lambda p: p["id"] == fields[_AT["Feature"]]), F.lit(-1)),
+    ))
+
+
+def parse_records(records: Column, matches: Column, ref: Column, alt: Column) -> Column:
+    """Typed annotation structs; ``matches`` holds each record's prediction entry."""
 
     def one(fields: Column, i: Column) -> Column:
+        match = F.get(matches, i)
+
         def raw(name: str) -> Column:
             return fields[_AT[name]]
 
         feature = raw("Feature")
-        match = F.when(
-            (source >= 0) & (i >= source),
-            F.try_element_at(F.filter(predictions, lambda p: p["id"] == feature), F.lit(-1)),
-        )
         symbol = text_or_null(raw("SYMBOL"))
         return F.struct(
             i.alias("pos"),

@@ -12,7 +12,8 @@ def text_or_null(value: Column) -> Column:
 
 
 def _numeric(value: Column) -> Column:
-    return F.when(value.rlike(_NUMBER), value)
+    """Number text only, so that words such as NaN and type suffixes stay out of the cast; most fields are empty."""
+    return F.when((value != "") & value.rlike(_NUMBER), value)
 
 
 def double_or_null(value: Column) -> Column:
@@ -33,12 +34,12 @@ def id_list(value: Column) -> Column:
     """``&`` list -> array, one leading ``_`` removed from each id; empty text gives an empty array."""
     return F.when(
         F.length(value) > 0,
-        F.transform(F.split(value, "&"), lambda v: F.regexp_replace(v, "^_", "")),
+        F.transform(F.split(value, "&"), lambda v: F.when(v.startswith("_"), F.substring(v, 2, 1 << 20)).otherwise(v)),
     ).otherwise(F.array().cast("array<string>"))
 
 
 def as_set(values: Column) -> Column:
-    return F.array_sort(F.array_distinct(values))
+    return F.sort_array(F.array_distinct(values))
 
 
 def set_text(values: Column) -> Column:

@@ -264,6 +264,12 @@ EXTRACT_HEADER = (
 )
 
 
+def _outside_codegen(cells: str) -> str:
+    """One text line as a one-element array. The lambda keeps this large text out of whole-stage code, whose
+    single method would be too long for the JVM to compile."""
+    return f"transform(array(concat_ws('\t', {cells})), line -> line)"
+
+
 class Inputs:
     """The given tables and the views over them, as DataFrames."""
 
@@ -273,9 +279,19 @@ class Inputs:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.directory}/{name}.parquet")
 
+    def spread(self, name: str, *keys: str) -> DataFrame:
+        """A table whose rows each become a wide text line: when it has fewer splits than the session has
+        cores, its narrow rows are spread first. Tables of many splits are read as they are."""
+        df, cores = self.table(name), self.spark.sparkContext.defaultParallelism
+        return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *keys)
+
     def view(self, name: str) -> DataFrame:
         text = _engine_text(VIEWS[name], "explode(array(", "))")
-        needed = {n: self.table(n) for n in TABLES if f"{{{n}}}" in text}
+        wide = name in ("gx_line", "gx_legacy")
+        needed = {
+            n: self.spread(n, "l_orderkey", "l_linenumber") if wide else self.table(n)
+            for n in TABLES if f"{{{n}}}" in text
+        }
         needed |= {n: self.view(n) for n in VIEWS if f"{{{n}}}" in text}
         return self.spark.sql(text, **needed)
 
@@ -298,14 +314,14 @@ class Inputs:
         # a generated column, so that filters on the text are not pushed into its assembly
         return self.view("gx_line").selectExpr(
             "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice",
-            f"explode_outer(array(concat_ws('\t', {line}))) AS value")
+            f"explode_outer({_outside_codegen(line)}) AS value")
 
     def legacy_lines(self) -> DataFrame:
         """Tab-separated lines of the older 130-column form with their order-line keys."""
         cells = ", ".join(f"v_{name}" if name in LEGACY_FIELDS else "''" for name in LEGACY_COLUMNS)
         return self.view("gx_legacy").selectExpr(
             "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice",
-            f"explode_outer(array(concat_ws('\t', {cells}))) AS value")
+            f"explode_outer({_outside_codegen(cells)}) AS value")
 
     def ranked_report(self) -> DataFrame:
         """Phenotype-ranked report rows: one gene with up to two variants per order line."""

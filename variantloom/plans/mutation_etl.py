@@ -32,9 +32,10 @@ def with_annotations(rows: DataFrame, stop_at_malformed: bool = True) -> DataFra
         .withColumn("records", keep(F.col("_all"))).drop("_all")
         .withColumn("_source", a.first_with_transcripts(F.col("records")))
         .withColumn("_predictions", a.prediction_table(F.col("records"), F.col("_source")))
-        .withColumn("annotations", a.parse_records(
-            F.col("records"), F.col("_predictions"), F.col("_source"), F.col("ref"), F.col("alt")))
+        .withColumn("_matches", a.matched_predictions(F.col("records"), F.col("_predictions"), F.col("_source")))
         .drop("_source", "_predictions")
+        .withColumn("annotations", a.parse_records(F.col("records"), F.col("_matches"), F.col("ref"), F.col("alt")))
+        .drop("_matches")
     )
 
 
