@@ -159,8 +159,9 @@ def flat_state(documents: DataFrame) -> dict[str, DataFrame]:
     genes = documents.select("mutationId", F.inline("genes"))
     aliases = documents.select(F.inline("newAliases"))
     return {
-        "variants": documents.drop("donors", "specimenList", "frequencies", "newAliases").withColumn(
-            "populations", F.map_filter(documents["frequencies"], lambda k, _: k.isin(*a.POPULATIONS))),
+        "variants": documents.withColumn(
+            "populations", F.map_filter("frequencies", lambda k, _: k.isin(*a.POPULATIONS))
+        ).drop("donors", "specimenList", "frequencies", "newAliases"),
         "cohort": documents.select("uid", F.col("frequencies")["interne"].alias("f")).select("uid", *frequency("f")),
         "labs": labs.select("uid", "lab", *frequency("f")),
         "donors": documents.select("uid", F.inline("donors")).drop("idx"),
