@@ -47,11 +47,12 @@ SELECT p_partkey AS site_id, {_chrom('p_partkey')} AS chrom, 1000 + p_partkey *
        concat(substr('CGTA', cast(p_size % 4 + 1 AS int), 1),
               CASE WHEN p_size % 5 = 0 THEN ',<NON_REF>' ELSE '' END) AS alt
 FROM {{part}}""",
-    # one genotype call per (site, sample)
+    # one genotype call per (site, sample); the greatest genotype is taken as a number, which aggregates by hash
     "gx_calls": """
 SELECT l_partkey AS site_id, l_suppkey AS specimen,
-       max(CASE concat(l_returnflag, l_linestatus) WHEN 'RF' THEN '1/1' WHEN 'RO' THEN '0/1' WHEN 'AF' THEN '0/1'
-           WHEN 'AO' THEN '0/0' WHEN 'NF' THEN './.' ELSE '1|0' END) AS gt,
+       CASE max(CASE concat(l_returnflag, l_linestatus) WHEN 'RF' THEN 4 WHEN 'RO' THEN 3 WHEN 'AF' THEN 3
+           WHEN 'AO' THEN 2 WHEN 'NF' THEN 1 ELSE 5 END)
+           WHEN 1 THEN './.' WHEN 2 THEN '0/0' WHEN 3 THEN '0/1' WHEN 4 THEN '1/1' ELSE '1|0' END AS gt,
        cast(sum(l_linenumber) AS bigint) AS ad_ref, cast(sum(l_quantity) AS bigint) AS ad_alt
 FROM {lineitem} GROUP BY l_partkey, l_suppkey""",
     # pedigree: trios of three consecutive keys

@@ -149,6 +149,14 @@ def mutation_documents(rows: DataFrame, cohort: DataFrame, members: DataFrame, u
     return with_gene_knowledge(line_documents(unique_lines(rows, order), cohort, updated, build, tool), members)
 
 
+def staged_documents(rows: DataFrame, cohort: DataFrame, members: DataFrame, updated: Column, staging: str,
+                     build: str = "GRCh38", tool: str | None = None) -> DataFrame:
+    """The same documents with the line pass written to ``staging`` once. The gene join reads only its own
+    columns from there, so no line is parsed for it a second time."""
+    write_table(line_documents(rows, cohort, updated, build, tool), f"{staging}/lines")
+    return with_gene_knowledge(rows.sparkSession.read.parquet(f"{staging}/lines"), members)
+
+
 # ---- flat state ---------------------------------------------------------------------------------
 
 def flat_state(documents: DataFrame) -> dict[str, DataFrame]:
@@ -196,8 +204,7 @@ def run(rows: DataFrame, cohort: DataFrame, members: DataFrame, updated: Column,
     current stage only and the extract is scanned once; then genes are joined and the state is merged."""
     spark = rows.sparkSession
     staging = f"{checkpoint_dir(spark)}/{batch_name}"
-    write_table(line_documents(unique_lines(rows), cohort, updated, build, tool), f"{staging}/lines")
-    documents = with_gene_knowledge(spark.read.parquet(f"{staging}/lines"), members)
+    documents = staged_documents(unique_lines(rows), cohort, members, updated, staging, build, tool)
     write_table(documents, f"{staging}/documents")
     batch = flat_state(spark.read.parquet(f"{staging}/documents"))
     merged = batch if state is None else merge_state(read_state(spark, state), batch)

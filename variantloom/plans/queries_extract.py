@@ -162,10 +162,10 @@ def _(t):
 # ---- documents and sinks ------------------------------------------------------------------------
 
 def documents(t: Inputs) -> DataFrame:
-    rows = extract.with_keys(parsed_lines(t), BUILD)
-    return mutation_etl.mutation_documents(
-        rows, t.view("gx_sheet"), t.view("gx_members"), F.lit("2020-03-24").cast("date"), BUILD, "VEP 97",
-        order=[F.col(key) for key in LINE])
+    rows = mutation_etl.unique_lines(extract.with_keys(parsed_lines(t), BUILD), [F.col(key) for key in LINE])
+    staging = f"{checkpoint_dir(t.spark)}/documents-{uuid.uuid4().hex}"
+    return mutation_etl.staged_documents(
+        rows, t.view("gx_sheet"), t.view("gx_members"), F.lit("2020-03-24").cast("date"), staging, BUILD, "VEP 97")
 
 
 _UNIQUE = f"""uniq AS (SELECT * FROM (SELECT *, {MUTATION} AS mutation_id,
