@@ -6,12 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from variantloom.llm import mixing, quality_rules, sharding
+from variantloom.llm import line_dedup, mixing, quality_neighbours, quality_rules, sharding
 from variantloom.llm.common import table
 
 SHARDS = 24
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.digest(table(spark, sf_dir, "documents"))
+
+
+def op2_quality_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_neighbours.judged_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed_sizes(table(spark, sf_dir, "documents"))
 
@@ -25,9 +33,11 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_line_dedup": op1_line_dedup,
+    "op2_quality_neighbours": op2_quality_neighbours,
     "op7_mixing": op7_mixing,
     "op8_quality_rules": op8_quality_rules,
     "op10_sharding": op10_sharding,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op1_line_dedup": line_dedup.SQL}
