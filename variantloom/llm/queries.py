@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from variantloom.llm import line_dedup, mixing, quality_neighbours, quality_rules, sharding
+from variantloom.llm import line_dedup, mixing, packing, quality_neighbours, quality_rules, sharding
 from variantloom.llm.common import table
 
 SHARDS = 24
@@ -20,6 +20,10 @@ def op2_quality_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_neighbours.judged_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed_documents(table(spark, sf_dir, "documents"))
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed_sizes(table(spark, sf_dir, "documents"))
 
@@ -35,6 +39,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_quality_neighbours": op2_quality_neighbours,
+    "op4_packing": op4_packing,
     "op7_mixing": op7_mixing,
     "op8_quality_rules": op8_quality_rules,
     "op10_sharding": op10_sharding,
