@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from variantloom.llm import line_dedup, mixing, packing, quality_neighbours, quality_rules, sharding
+from variantloom.llm import line_dedup, mixing, packing, quality_neighbours, quality_rules, sharding, toxicity_kernel
 from variantloom.llm.common import table
 
 SHARDS = 24
@@ -24,6 +24,10 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed_documents(table(spark, sf_dir, "documents"))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity_kernel.judged_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed_sizes(table(spark, sf_dir, "documents"))
 
@@ -40,6 +44,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_quality_neighbours": op2_quality_neighbours,
     "op4_packing": op4_packing,
+    "op5_toxicity": op5_toxicity,
     "op7_mixing": op7_mixing,
     "op8_quality_rules": op8_quality_rules,
     "op10_sharding": op10_sharding,
