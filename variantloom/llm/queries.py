@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from variantloom.llm import line_dedup, mixing, packing, quality_neighbours, quality_rules, sharding, toxicity_kernel
+from variantloom.llm import line_dedup, mixing, packing, quality_neighbours, quality_rules, sharding, substring_dedup, toxicity_kernel
 from variantloom.llm.common import table
 
 SHARDS = 24
@@ -20,6 +20,10 @@ def op2_quality_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_neighbours.judged_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.digest(table(spark, sf_dir, "documents"))
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed_documents(table(spark, sf_dir, "documents"))
 
@@ -43,6 +47,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_quality_neighbours": op2_quality_neighbours,
+    "op3_substring_dedup": op3_substring_dedup,
     "op4_packing": op4_packing,
     "op5_toxicity": op5_toxicity,
     "op7_mixing": op7_mixing,
@@ -50,4 +55,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_sharding": op10_sharding,
 }
 
-ORACLES: dict[str, str] = {"op1_line_dedup": line_dedup.SQL}
+ORACLES: dict[str, str] = {"op1_line_dedup": line_dedup.SQL, "op3_substring_dedup": substring_dedup.SQL}
