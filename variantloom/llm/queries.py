@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from variantloom.llm import line_dedup, mixing, packing, quality_neighbours, quality_rules, sharding, substring_dedup, toxicity_kernel
+from variantloom.llm import line_dedup, mixing, ngram_join, packing, quality_neighbours, quality_rules, sharding, substring_dedup, toxicity_kernel
 from variantloom.llm.common import table
 
 SHARDS = 24
@@ -40,6 +40,10 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(spark, sf_dir)
 
 
+def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.joined_documents(table(spark, sf_dir, "documents"))
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.sharded_documents(table(spark, sf_dir, "documents"), SHARDS)
 
@@ -52,6 +56,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_toxicity": op5_toxicity,
     "op7_mixing": op7_mixing,
     "op8_quality_rules": op8_quality_rules,
+    "op9_ngram_join": op9_ngram_join,
     "op10_sharding": op10_sharding,
 }
 
