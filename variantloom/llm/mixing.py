@@ -187,7 +187,8 @@ def taken_parts(runs: DataFrame, plan: Plan) -> DataFrame:
     )
     mix = slots(runs.sparkSession, plan).select(F.col("source_index").alias("_index"), "block", "turn", "words")
     at = F.col("block") * n
-    joined = pieces.join(mix, ["_index", "block"]).select(
+    # the mix grows with the corpus, while the planner only sees the few shards it is drawn from
+    joined = pieces.join(mix.hint("merge"), ["_index", "block"]).select(
         "_index", "_start", "turn", "block",
         F.greatest(F.lit(0), at - F.col("_start")).cast("long").alias("first"),
         F.least(F.col("_size"), at + F.col("words") - F.col("_start")).cast("long").alias("end"),
