@@ -4,16 +4,39 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from variantloom.llm import mixing
+from variantloom.llm import line_dedup, mixing, ngram_join, packing, quality_neighbours
 from variantloom.llm.common import stage, table
 
 
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents that the nearest-neighbour classifier does not reject."""
+    scored = quality_neighbours.score_documents(docs, table(spark, sf_dir, "labels"))
+    return scored.filter(scored["score"] >= quality_neighbours.THRESHOLD).select(*docs.columns)
+
+
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without the lines that stand on many sites, except where each stands first."""
+    return line_dedup.without_boilerplate(docs).select(*docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group that similar texts connect: the one with the smallest id."""
+    return ngram_join.one_of_each_group(docs)
+
+
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents as the mix of sources takes them."""
     return mixing.mixed_documents(docs)
 
 
-STAGES = [("mix", mix)]
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents and their places in sequences of 1024 tokens."""
+    return packing.packed_documents(docs)
+
+
+STAGES = [
+    ("quality", quality), ("lines", lines), ("near_duplicates", near_duplicates), ("mix", mix), ("pack", pack),
+]
 
 #: The classifier, the mix and the packing have no SQL form.
 ORACLE_SQL = None

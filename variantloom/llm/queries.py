@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from variantloom.llm import line_dedup, mixing, ngram_join, packing, quality_neighbours, quality_rules, sharding, substring_dedup, toxicity_kernel
+from variantloom.llm import graph_search, line_dedup, mixing, ngram_join, packing, quality_neighbours, quality_rules, sharding, substring_dedup, toxicity_kernel
 from variantloom.llm.common import table
 
 SHARDS = 24
@@ -32,6 +32,10 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_kernel.judged_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op6_graph_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return graph_search.nearest(table(spark, sf_dir, "embeddings"))
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed_sizes(table(spark, sf_dir, "documents"))
 
@@ -54,6 +58,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_substring_dedup": op3_substring_dedup,
     "op4_packing": op4_packing,
     "op5_toxicity": op5_toxicity,
+    "op6_graph_search": op6_graph_search,
     "op7_mixing": op7_mixing,
     "op8_quality_rules": op8_quality_rules,
     "op9_ngram_join": op9_ngram_join,
