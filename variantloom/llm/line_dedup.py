@@ -83,20 +83,17 @@ def without_boilerplate(docs: DataFrame, site: str = "source", sites: int = SITE
     A line is compared without the white space around it and kept or removed as it is. A document keeps its row even
     if no line of it stays. Null texts stay null and have no line; rows that repeat an id and a text are one
     document; columns of the names above are replaced. ``n_chars``, if there is one, follows the text."""
-    columns = docs.columns
-    gone = removed_lines(docs, site, sites).withColumnRenamed("doc_id", "_id").withColumnRenamed("_text", "_hash")
-    joined = (
-        docs.select(*columns, F.xxhash64("text").alias("_text"))
-        .join(gone, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_text") == F.col("_hash")), "left")
-        .select(*columns, "_gone")
-    )
-    own = [c for c in columns if c not in ("n_lines", "n_removed")]
-    at = own.index("text")
+    own = [c for c in docs.columns if c.lower() not in ("n_lines", "n_removed")]
+    rest = [c for c in own if c != "text"]
+    gone = removed_lines(docs, site, sites).select(F.col("doc_id").alias("id"), F.col("_text").alias("same"), F.col("_gone").alias("gone"))
+    # the other columns travel in one struct, whatever their names
+    wide = docs.select(F.struct(*[F.col(f"`{c}`") for c in rest]).alias("row"), "text", F.xxhash64("text").alias("hash"))
+    joined = wide.join(gone, F.col("row.doc_id").eqNullSafe(F.col("id")) & (F.col("hash") == F.col("same")), "left")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, counts, removed = [], [], []
-            for text, drop in zip(batch.column("text").to_pylist(), batch.column("_gone").to_pylist(), strict=True):
+            for text, drop in zip(batch.column("text").to_pylist(), batch.column("gone").to_pylist(), strict=True):
                 lines = [] if text is None else text.split("\n")
                 counts.append(sum(bool(x.strip(_SPACE)) for x in lines))
                 removed.append(len(drop or ()))
@@ -104,17 +101,19 @@ def without_boilerplate(docs: DataFrame, site: str = "source", sites: int = SITE
                     out = set(drop)
                     text = "\n".join(x for i, x in enumerate(lines) if i not in out)
                 texts.append(text)
-            arrays = [batch.column(c) for c in own]
-            arrays[at] = pa.array(texts, pa.string())
-            yield pa.RecordBatch.from_arrays(
-                [*arrays, pa.array(counts, pa.int64()), pa.array(removed, pa.int64())], [*own, "n_lines", "n_removed"]
-            )
-
-    fields = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in own)
-    out = joined.mapInArrow(cut, f"{fields}, n_lines long, n_removed long")
-    if "n_chars" in own:
-        out = out.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
-    return out
+            arrays = [pa.array(texts, pa.string()), pa.array(counts, pa.int64()), pa.array(removed, pa.int64())]
+            yield pa.RecordBatch.from_arrays([batch.column("row"), *arrays], ["row", "text", "n_lines", "n_removed"])
+
+    joined = joined.select("row", "text", "gone")
+    out = joined.mapInArrow(cut, f"row {joined.schema['row'].dataType.simpleString()}, text string, n_lines long, n_removed long")
+
+    def column(name: str) -> Column:
+        kept = F.col("row").getField(name) if name != "text" else F.col("text")
+        if name == "n_chars":
+            kept = F.when(F.col("n_removed") > 0, F.length("text").cast(docs.schema[name].dataType)).otherwise(kept)
+        return kept.alias(name)
+
+    return out.select(*map(column, own), "n_lines", "n_removed")
 
 
 def digest(docs: DataFrame) -> DataFrame:

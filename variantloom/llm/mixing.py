@@ -6,12 +6,13 @@ pseudorandom permutation of its block numbers; after the last block, a second pe
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from variantloom.llm.common import WORD, mixed, running_total, stage
@@ -162,18 +163,16 @@ def slots(spark, plan: Plan) -> DataFrame:
     return spark.range(0, plan.shards, 1, parts).mapInPandas(draw, schema)
 
 
-def source_runs(docs: DataFrame, carry: Sequence[str] = ()) -> tuple[DataFrame, list[tuple[str | None, int]]]:
+def source_runs(docs: DataFrame, *carry: Column) -> tuple[DataFrame, list[tuple[str | None, int]]]:
     """Every document with its number of words, its source's number and where its words start in the source.
 
     Returns that staged table and each source's total: one entry per source goes to the driver."""
     size = F.regexp_count(F.coalesce("text", F.lit("")), F.lit(WORD)).cast("long")
-    rows = stage(docs.select(*[c for c in carry if c != "source"], *([] if "doc_id" in carry else ["doc_id"]), "source", size.alias("_size")), "mix-sizes")
+    rows = stage(docs.select("doc_id", "source", size.alias("_size"), *carry), "mix-sizes")
     totals = [(r["source"], r["n"]) for r in rows.groupBy("source").agg(F.sum("_size").alias("n")).collect()]
     names = sorted((s for s, _ in totals), key=lambda s: (s is None, s or ""))
-    if not names:
-        return rows.withColumn("_index", F.lit(0)).withColumn("_start", F.lit(0).cast("long")), []
     index = docs.sparkSession.createDataFrame([(s, i) for i, s in enumerate(names)], "_name string, _index int")
-    rows = rows.join(index, rows["source"].eqNullSafe(index["_name"])).drop("_name")
+    rows = rows.join(index, rows["source"].eqNullSafe(index["_name"])).drop("_name", "source")
     return running_total(rows, ["_index"], F.col("_size"), ["doc_id", "_size"], "_start", BUCKETS), totals
 
 
@@ -223,13 +222,12 @@ def mixed_documents(docs: DataFrame, cycle: Sequence[float] = (3, 1, 2), share:
     parts of a second use after those of the first, with a line break between parts that do not follow each other.
 
     A document of which nothing is taken is not in the mix; ``n_chars``, if there is one, follows the text."""
-    import re
-
-    columns = docs.columns
-    runs, totals = source_runs(docs, columns)
+    rest = [c for c in docs.columns if c != "text"]
+    runs, totals = source_runs(docs, "text", F.struct(*[F.col(f"`{c}`") for c in rest]).alias("_row"))
     plan = make_plan(totals, cycle, share, most, **plan)
     part = F.struct("turn", "first", "end")
-    parts = taken_parts(runs.select("_index", "_start", "_size"), plan).groupBy("_index", "_start").agg(F.sort_array(F.collect_list(part)).alias("_parts"))
+    parts = taken_parts(runs.select("_index", "_start", "_size"), plan)
+    parts = parts.groupBy("_index", "_start").agg(F.sort_array(F.collect_list(part)).alias("_parts"))
     word = re.compile(WORD)
 
     @F.pandas_udf("string")
@@ -248,7 +246,11 @@ def mixed_documents(docs: DataFrame, cycle: Sequence[float] = (3, 1, 2), share:
 
         return pd.Series([one(t, p) for t, p in zip(text, parts, strict=True)], dtype=object)
 
-    out = runs.filter("_size > 0").join(parts, ["_index", "_start"]).withColumn("text", cut("text", "_parts"))
-    if "n_chars" in columns:
-        out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return out.select(*columns)
+    out = runs.filter("_size > 0").join(parts, ["_index", "_start"]).select("_row", cut("text", "_parts").alias("text"))
+
+    def column(name: str) -> Column:
+        if name == "n_chars":
+            return F.length("text").cast(docs.schema[name].dataType).alias(name)
+        return (F.col("text") if name == "text" else F.col("_row").getField(name)).alias(name)
+
+    return out.select(*map(column, docs.columns))

@@ -190,7 +190,7 @@ def score_documents(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_ROW
     Texts are read whole. Null and empty texts get the share of label 1 among the labels, or 0.5 if there is no
     label. Rows that repeat a text get one score. An own column ``score`` is replaced."""
     space = docs.sparkSession.sparkContext.broadcast(learn_space(docs, labels, sample))
-    own = [c for c in docs.columns if c != "score"]
+    own = [c for c in docs.columns if c.lower() != "score"]
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

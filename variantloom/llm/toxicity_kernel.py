@@ -388,7 +388,7 @@ def score_documents(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_ROW
     Texts are read whole. Null and empty texts score as one sentence without a word; without labels of both kinds all
     texts get the share of label 1. Rows that repeat a text get one score. An own column ``score`` is replaced."""
     machine = docs.sparkSession.sparkContext.broadcast(learn_machine(docs, labels, sample))
-    own = [c for c in docs.columns if c != "score"]
+    own = [c for c in docs.columns if c.lower() != "score"]
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
