@@ -248,7 +248,7 @@ def choose_landmarks(toxic: list[set[str]], clean: list[set[str]]) -> list[str]:
     return out + [u for u, _ in sorted(common.items(), key=lambda x: (-x[1], x[0]))[:PLAIN_LANDMARKS]]
 
 
-def train(x: np.ndarray, y: np.ndarray, weight: np.ndarray, penalty: float = 1e-4) -> np.ndarray:
+def train(x: np.ndarray, y: np.ndarray, weight: np.ndarray, penalty: float = 1e-3) -> np.ndarray:
     """A linear machine with squared hinge loss, by Newton steps; the last weight is the bias."""
     x = np.hstack([x, np.ones((len(x), 1))])
     w = np.zeros(x.shape[1])
