@@ -1,46 +1,167 @@
-"""Golden scalars and the golden tables of the inheritance predicates."""
+"""Golden scalars, golden rows of the inheritance predicates, and the predicates against their rules in plain Python."""
+
+import itertools
 
 import pytest
 from pyspark.sql import functions as F
 
 from variantloom.functions import genotype as g, inheritance as inh
 
-# genotype triples (proband, father, mother) by code
-TRIPLES = {
-    "0": "1/1 0/0 ./.", "1": "0/1 0/0 0/0", "2": "0/1 ./. 0/0", "3": "0/0 1/0 0/0", "4": "0/0 0/0 1/0",
-    "5": "1/0 ./. ./.", "6": "1/1 0/0 0/0", "7": "0/1 1/0 1/0", "8": "1/1 1/0 1/0", "9": "1/1 0/1 ./.",
-    "A": "0/1 0/1 0/0", "B": "0/1 0/1 ./.", "C": "0/1 1/1 0/1", "D": "0/1 0/0 1/1", "E": "1/1 1/1 0/1",
-    "F": "1/1 ./. ./.", "G": "0/1 0/0 ./.", "H": "0/1 0/0 1/0",
-}
-# pedigree name -> (proband sex, father phenotype, mother phenotype); None: proband alone
+# Pedigree name -> (proband sex, father phenotype, mother phenotype); None: proband alone.
 PEDIGREES = {
     "0": ("1", None, None), "0F": ("2", None, None), "1": ("1", "1", "1"), "1F": ("2", "1", "1"),
     "2": ("1", "2", "1"), "2F": ("2", "2", "1"), "2M": ("1", "1", "2"), "FMth": ("2", "1", "2"),
     "3": ("1", "2", "HP:0000268"), "3F": ("2", "2", "HP:0000268"),
 }
+# Rule, pedigree, mode, genotypes of proband, father and mother, expected.
 GOLDEN = [
-    ("AD", "0", "strict", "FTTFFTFTFFTTTTFFTT"), ("AD", "1", "strict", "FTTFFTFFFFFFFFFFTF"),
-    ("AD", "1", "lax", "FTTF...T..TTTT..TT"), ("AD", "2", "strict", "FFTFFTFFFFTTFFFFFF"),
-    ("AD", "2", "lax", "FTTFFTFTFFTTTTFFTT"), ("AD", "3", "strict", "FFFFFTFTFFFTFFFFFF"),
-    ("AD", "3", "lax", "FTTFFTFTFFTTTTFFTT"), ("AR", "0", "strict", "TFFFFFTFTTFFFFTTFF"),
-    ("AR", "1", "strict", "FFFFFFFFTTFFFFFTFF"), ("AR", "1", "lax", "TFFFFFTFTTFFFFTTFF"),
-    ("AR", "2", "strict", "FFFFFFFFFFFFFFFFFF"), ("AR", "2", "lax", "TFFFFFTFTTFFFFTTFF"),
-    ("AR", "3", "strict", "FFFFFFFFFFFFFFFFFF"), ("AR", "3", "lax", "TFFFFFTFTTFFFFTTFF"),
-    ("DN", "0", "strict", "FFFFFFFFFFFFFFFFFF"), ("DN", "0", "lax", "FFFFFFFFFFFFFFFFFF"),
-    ("DN", "1", "strict", "FTTFFTFFFFFFFFFFTF"), ("DN", "1", "lax", "FTTFFTFFFFFFFFFFTF"),
-    ("DN", "2", "strict", "FFTFFTFFFFFFFFFFFF"), ("DN", "2", "lax", "FTTFFTFFFFFFFFFFTF"),
-    ("DN", "3", "strict", "FFFFFTFFFFFFFFFFFF"), ("DN", "3", "lax", "FTTFFTFFFFFFFFFFTF"),
-    ("XR", "0", "strict", "TTTFFTTTTTTTTTTTTT"), ("XR", "0F", "strict", "TFFFFFTFTTFFFFTTFF"),
-    ("XR", "1", "strict", "TTTFFTTFFFFFFFFTTT"), ("XR", "1F", "strict", "FFFFFFFFFFFFFFFFFF"),
-    ("XR", "2", "strict", "FFTFFTFTTTTTTFTTFF"), ("XR", "2F", "strict", "FFFFFFFFTTFFFFTTFF"),
-    ("XR", "FMth", "strict", "FFFFFFFFFFFFFFFFFF"), ("XR", "3", "strict", "FFFFFTFFFTFTFFFTFF"),
-    ("XR", "3F", "strict", "FFFFFFFFTTFFFFTTFF"), ("XD", "0", "strict", "FFFFFFFFFFFFFFFFFF"),
-    ("XD", "0F", "strict", "FTTFFTFTFFTTTTFFTT"), ("XD", "1", "strict", "FFFFFFFFFFFFFFFFFF"),
-    ("XD", "2M", "strict", "FFFFFFFFFFFFFFFFFF"), ("XD", "1F", "strict", "FTTFFTFFFFFFFFFFTF"),
-    ("XD", "2", "strict", "FFFFFFFFFFFFFFFFFF"), ("XD", "2F", "strict", "FFTFFTFFFFTTFFFFFF"),
-    ("XD", "FMth", "strict", "FFFFFTFFFFFFFTFFTT"),
+    ("AD", "0", "strict", "0/1 0/0 0/0", True),
+    ("AD", "0", "strict", "0/1 ./. 0/0", True),
+    ("AD", "0", "strict", "1/1 0/0 ./.", False),
+    ("AD", "0", "strict", "0/0 1/0 0/0", False),
+    ("AD", "1", "strict", "0/1 0/0 0/0", True),
+    ("AD", "1", "strict", "0/1 ./. 0/0", True),
+    ("AD", "1", "strict", "1/1 0/0 ./.", False),
+    ("AD", "1", "strict", "0/0 1/0 0/0", False),
+    ("AD", "1", "lax", "0/1 0/0 0/0", True),
+    ("AD", "1", "lax", "0/1 ./. 0/0", True),
+    ("AD", "1", "lax", "1/1 0/0 ./.", False),
+    ("AD", "1", "lax", "0/0 1/0 0/0", False),
+    ("AD", "2", "strict", "0/1 ./. 0/0", True),
+    ("AD", "2", "strict", "1/0 ./. ./.", True),
+    ("AD", "2", "strict", "1/1 0/0 ./.", False),
+    ("AD", "2", "strict", "0/1 0/0 0/0", False),
+    ("AD", "2", "lax", "0/1 0/0 0/0", True),
+    ("AD", "2", "lax", "0/1 ./. 0/0", True),
+    ("AD", "2", "lax", "1/1 0/0 ./.", False),
+    ("AD", "2", "lax", "0/0 1/0 0/0", False),
+    ("AD", "3", "strict", "1/0 ./. ./.", True),
+    ("AD", "3", "strict", "0/1 1/0 1/0", True),
+    ("AD", "3", "strict", "1/1 0/0 ./.", False),
+    ("AD", "3", "strict", "0/1 0/0 0/0", False),
+    ("AD", "3", "lax", "0/1 0/0 0/0", True),
+    ("AD", "3", "lax", "0/1 ./. 0/0", True),
+    ("AD", "3", "lax", "1/1 0/0 ./.", False),
+    ("AD", "3", "lax", "0/0 1/0 0/0", False),
+    ("AR", "0", "strict", "1/1 0/0 ./.", True),
+    ("AR", "0", "strict", "1/1 0/0 0/0", True),
+    ("AR", "0", "strict", "0/1 0/0 0/0", False),
+    ("AR", "0", "strict", "0/1 ./. 0/0", False),
+    ("AR", "1", "strict", "1/1 1/0 1/0", True),
+    ("AR", "1", "strict", "1/1 0/1 ./.", True),
+    ("AR", "1", "strict", "1/1 0/0 ./.", False),
+    ("AR", "1", "strict", "0/1 0/0 0/0", False),
+    ("AR", "1", "lax", "1/1 0/0 ./.", True),
+    ("AR", "1", "lax", "1/1 0/0 0/0", True),
+    ("AR", "1", "lax", "0/1 0/0 0/0", False),
+    ("AR", "1", "lax", "0/1 ./. 0/0", False),
+    ("AR", "2", "strict", "1/1 0/0 ./.", False),
+    ("AR", "2", "strict", "0/1 0/0 0/0", False),
+    ("AR", "2", "strict", "0/1 ./. 0/0", False),
+    ("AR", "2", "lax", "1/1 0/0 ./.", True),
+    ("AR", "2", "lax", "1/1 0/0 0/0", True),
+    ("AR", "2", "lax", "0/1 0/0 0/0", False),
+    ("AR", "2", "lax", "0/1 ./. 0/0", False),
+    ("AR", "3", "strict", "1/1 0/0 ./.", False),
+    ("AR", "3", "strict", "0/1 0/0 0/0", False),
+    ("AR", "3", "strict", "0/1 ./. 0/0", False),
+    ("AR", "3", "lax", "1/1 0/0 ./.", True),
+    ("AR", "3", "lax", "1/1 0/0 0/0", True),
+    ("AR", "3", "lax", "0/1 0/0 0/0", False),
+    ("AR", "3", "lax", "0/1 ./. 0/0", False),
+    ("DN", "0", "strict", "1/1 0/0 ./.", False),
+    ("DN", "0", "strict", "0/1 0/0 0/0", False),
+    ("DN", "0", "strict", "0/1 ./. 0/0", False),
+    ("DN", "0", "lax", "1/1 0/0 ./.", False),
+    ("DN", "0", "lax", "0/1 0/0 0/0", False),
+    ("DN", "0", "lax", "0/1 ./. 0/0", False),
+    ("DN", "1", "strict", "0/1 0/0 0/0", True),
+    ("DN", "1", "strict", "0/1 ./. 0/0", True),
+    ("DN", "1", "strict", "1/1 0/0 ./.", False),
+    ("DN", "1", "strict", "0/0 1/0 0/0", False),
+    ("DN", "1", "lax", "0/1 0/0 0/0", True),
+    ("DN", "1", "lax", "0/1 ./. 0/0", True),
+    ("DN", "1", "lax", "1/1 0/0 ./.", False),
+    ("DN", "1", "lax", "0/0 1/0 0/0", False),
+    ("DN", "2", "strict", "0/1 ./. 0/0", True),
+    ("DN", "2", "strict", "1/0 ./. ./.", True),
+    ("DN", "2", "strict", "1/1 0/0 ./.", False),
+    ("DN", "2", "strict", "0/1 0/0 0/0", False),
+    ("DN", "2", "lax", "0/1 0/0 0/0", True),
+    ("DN", "2", "lax", "0/1 ./. 0/0", True),
+    ("DN", "2", "lax", "1/1 0/0 ./.", False),
+    ("DN", "2", "lax", "0/0 1/0 0/0", False),
+    ("DN", "3", "strict", "1/0 ./. ./.", True),
+    ("DN", "3", "strict", "1/1 0/0 ./.", False),
+    ("DN", "3", "strict", "0/1 0/0 0/0", False),
+    ("DN", "3", "lax", "0/1 0/0 0/0", True),
+    ("DN", "3", "lax", "0/1 ./. 0/0", True),
+    ("DN", "3", "lax", "1/1 0/0 ./.", False),
+    ("DN", "3", "lax", "0/0 1/0 0/0", False),
+    ("XR", "0", "strict", "1/1 0/0 ./.", True),
+    ("XR", "0", "strict", "0/1 0/0 0/0", True),
+    ("XR", "0", "strict", "0/0 1/0 0/0", False),
+    ("XR", "0", "strict", "0/0 0/0 1/0", False),
+    ("XR", "0F", "strict", "1/1 0/0 ./.", True),
+    ("XR", "0F", "strict", "1/1 0/0 0/0", True),
+    ("XR", "0F", "strict", "0/1 0/0 0/0", False),
+    ("XR", "0F", "strict", "0/1 ./. 0/0", False),
+    ("XR", "1", "strict", "1/1 0/0 ./.", True),
+    ("XR", "1", "strict", "0/1 0/0 0/0", True),
+    ("XR", "1", "strict", "0/0 1/0 0/0", False),
+    ("XR", "1", "strict", "0/0 0/0 1/0", False),
+    ("XR", "1F", "strict", "1/1 0/0 ./.", False),
+    ("XR", "1F", "strict", "0/1 0/0 0/0", False),
+    ("XR", "1F", "strict", "0/1 ./. 0/0", False),
+    ("XR", "2", "strict", "0/1 ./. 0/0", True),
+    ("XR", "2", "strict", "1/0 ./. ./.", True),
+    ("XR", "2", "strict", "1/1 0/0 ./.", False),
+    ("XR", "2", "strict", "0/1 0/0 0/0", False),
+    ("XR", "2F", "strict", "1/1 1/0 1/0", True),
+    ("XR", "2F", "strict", "1/1 0/1 ./.", True),
+    ("XR", "2F", "strict", "1/1 0/0 ./.", False),
+    ("XR", "2F", "strict", "0/1 0/0 0/0", False),
+    ("XR", "FMth", "strict", "1/1 0/0 ./.", False),
+    ("XR", "FMth", "strict", "0/1 0/0 0/0", False),
+    ("XR", "FMth", "strict", "0/1 ./. 0/0", False),
+    ("XR", "3", "strict", "1/0 ./. ./.", True),
+    ("XR", "3", "strict", "1/1 0/1 ./.", True),
+    ("XR", "3", "strict", "1/1 0/0 ./.", False),
+    ("XR", "3", "strict", "0/1 0/0 0/0", False),
+    ("XR", "3F", "strict", "1/1 1/0 1/0", True),
+    ("XR", "3F", "strict", "1/1 0/1 ./.", True),
+    ("XR", "3F", "strict", "1/1 0/0 ./.", False),
+    ("XR", "3F", "strict", "0/1 0/0 0/0", False),
+    ("XD", "0", "strict", "1/1 0/0 ./.", False),
+    ("XD", "0", "strict", "0/1 0/0 0/0", False),
+    ("XD", "0", "strict", "0/1 ./. 0/0", False),
+    ("XD", "0F", "strict", "0/1 0/0 0/0", True),
+    ("XD", "0F", "strict", "0/1 ./. 0/0", True),
+    ("XD", "0F", "strict", "1/1 0/0 ./.", False),
+    ("XD", "0F", "strict", "0/0 1/0 0/0", False),
+    ("XD", "1", "strict", "1/1 0/0 ./.", False),
+    ("XD", "1", "strict", "0/1 0/0 0/0", False),
+    ("XD", "1", "strict", "0/1 ./. 0/0", False),
+    ("XD", "2M", "strict", "1/1 0/0 ./.", False),
+    ("XD", "2M", "strict", "0/1 0/0 0/0", False),
+    ("XD", "2M", "strict", "0/1 ./. 0/0", False),
+    ("XD", "1F", "strict", "0/1 0/0 0/0", True),
+    ("XD", "1F", "strict", "0/1 ./. 0/0", True),
+    ("XD", "1F", "strict", "1/1 0/0 ./.", False),
+    ("XD", "1F", "strict", "0/0 1/0 0/0", False),
+    ("XD", "2", "strict", "1/1 0/0 ./.", False),
+    ("XD", "2", "strict", "0/1 0/0 0/0", False),
+    ("XD", "2", "strict", "0/1 ./. 0/0", False),
+    ("XD", "2F", "strict", "0/1 ./. 0/0", True),
+    ("XD", "2F", "strict", "1/0 ./. ./.", True),
+    ("XD", "2F", "strict", "1/1 0/0 ./.", False),
+    ("XD", "2F", "strict", "0/1 0/0 0/0", False),
+    ("XD", "FMth", "strict", "1/0 ./. ./.", True),
+    ("XD", "FMth", "strict", "0/1 0/0 1/1", True),
+    ("XD", "FMth", "strict", "1/1 0/0 ./.", False),
+    ("XD", "FMth", "strict", "0/1 0/0 0/0", False),
 ]
-# clinical review: pedigree, genotypes -> {(predicate, mode): expected}
+# Clinical review. pedigree, genotypes -> {(predicate, mode): expected}
 REVIEW = [
     ("1", "0/1 0/0 0/0", {("DN", "lax"): True, ("DN", "strict"): True}),
     ("2M", "0/1 0/0 0/1", {("AD", "lax"): True, ("AR", "lax"): False, ("AD", "strict"): True, ("AR", "strict"): False}),
@@ -62,24 +183,86 @@ RULES = {
 }
 
 
+def _is_affected(phenotype):
+    return phenotype != "1"
+
+
+def _plain(rule, strict, family):
+    """The rules as written down for the data: members are (zygosity, sex, affected), the proband first."""
+    zygosity, sex, affected = family[0]
+    seen = family if strict else family[:1]
+    alone = len(family) == 1
+    if rule == "AD":
+        for place, (z, _, ill) in enumerate(seen):
+            if ill and not (z == "HET" or (place > 0 and z == "UNK")) or not ill and z in ("HET", "HOM"):
+                return False
+        return alone or any(ill for _, _, ill in seen)
+    if rule == "AR":
+        for z, _, ill in seen:
+            if ill and z != "HOM" or not ill and z.startswith("HOM"):
+                return False
+        return alone or sum(ill for _, _, ill in seen) <= 1
+    if rule == "DN":
+        if alone or not affected:
+            return False
+        # without strict, relatives count as unaffected
+        for place, (z, _, ill) in enumerate(family):
+            if z not in ("UNK", "HET" if ill and (strict or place == 0) else "HOM REF"):
+                return False
+        return not strict or sum(ill and z == "HET" for z, _, ill in family) <= 1
+    boy = sex == "1"
+    if rule == "XR":
+        carries = zygosity == "HOM" or (boy and zygosity == "HET")
+        if alone or not strict:
+            return affected and carries
+        for z, s, ill in family[1:]:
+            if not boy:
+                fits = ill and z != "HOM REF" if s == "1" else not z.startswith("HOM")
+            elif s == "1":
+                fits = z != "HOM REF" if ill else z not in ("HOM", "HET")
+            else:
+                fits = z in ("HOM", "UNK") if ill else z != "HOM"
+            carries = carries and fits
+        return carries
+    if boy:
+        return False
+    if alone or not strict:
+        return affected and zygosity == "HET"
+    for place, (z, _, ill) in enumerate(family):
+        if ill and (z != "HET" if place == 0 else z == "HOM REF") or not ill and z not in ("HOM REF", "UNK"):
+            return False
+    return any(ill and (place == 0 or s == "1" or z == "HET") for place, (z, s, ill) in enumerate(family))
+
+
 def _cases():
-    for rule, ped, mode, expected in GOLDEN:
-        for code, wanted in zip(TRIPLES, expected):
-            if wanted != ".":
-                yield rule, ped, mode, TRIPLES[code], wanted == "T"
+    for rule, ped, mode, genotypes, wanted in GOLDEN:
+        yield rule, ped, mode, genotypes, wanted
     for ped, genotypes, outcomes in REVIEW:
         for (rule, mode), wanted in outcomes.items():
             yield rule, ped, mode, genotypes, wanted
 
 
-def test_inheritance_golden_tables(spark):
+def _members(ped):
+    sex, father, mother = PEDIGREES[ped]
+    return [(sex, "2")] + ([] if father is None else [("1", father), ("2", mother)])
+
+
+def _all_combinations():
+    calls = {"0/0": "HOM REF", "0/1": "HET", "1/0": "HET", "1/1": "HOM", "./.": "UNK"}
+    for rule, mode, ped in itertools.product(RULES, ("strict", "lax"), PEDIGREES):
+        members = _members(ped)
+        for gts in itertools.product(calls, repeat=len(members)):
+            family = [(calls[gt], s, _is_affected(p)) for gt, (s, p) in zip(gts, members)]
+            yield rule, ped, mode, " ".join(gts), _plain(rule, mode == "strict", family)
+
+
+@pytest.mark.parametrize("cases, least", [(_cases, 150), (_all_combinations, 9000)])
+def test_inheritance(spark, cases, least):
     rows = []
-    for rule, ped, mode, genotypes, wanted in _cases():
-        sex, father, mother = PEDIGREES[ped]
-        members = [(sex, "2")] + ([] if father is None else [("1", father), ("2", mother)])
-        family = [(gt, s, p) for gt, (s, p) in zip(genotypes.split(), members)]
+    for rule, ped, mode, genotypes, wanted in cases():
+        family = [(gt, s, p) for gt, (s, p) in zip(genotypes.split(), _members(ped))]
         rows.append((rule, ped, mode, genotypes, wanted, family))
-    assert len(rows) > 730
+    assert len(rows) > least
     df = spark.createDataFrame(
         rows, "rule string, ped string, mode string, genotypes string, wanted boolean, "
               "members array<struct<gt: string, sex: string, phenotype: string>>")
