@@ -4,7 +4,8 @@ Equal sets are one class from the start. For classes, the filter is a prefix of
 shingles: if two sets are similar enough, their prefixes share a shingle, whatever the order. All orders put rare
 shingles first (they are counted over the corpus), and differ in how they rank those of like frequency; a pair is
 a candidate only if it shares a prefix shingle under every order. What stands in one class alone comes first in all
-orders and can be shared with none, so most documents have no candidates at all.
+orders and can be shared with none, so most documents have no candidates at all. How long the prefixes of a pair are
+depends on both sizes: a shingle proposes a pair only if it stands early enough in either set for that.
 
 Candidates are not all pairs of those that share a prefix shingle. First each is compared with the least one that has
 the shingle. What that leaves apart is compared with every other in full, but for pairs that are connected by then."""
@@ -17,7 +18,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from variantloom.llm.chunks import (
@@ -118,28 +119,28 @@ def _shared(frame: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(out)
 
 
-def prefixes(values: np.ndarray, of: np.ndarray, n: np.ndarray, spread: np.ndarray) -> list[np.ndarray]:
-    """For each order, whether a shingle lies in its set's prefix and stands in another set too.
+def least_common(n: int, m: int):
+    """Shingles that sets of these sizes share at least if they are linked."""
+    return -(-PERCENT * (n + m) // (100 + PERCENT))
 
-    ``values`` are hashes grouped by their set ``of``, ``n`` the size of each hash's set, ``spread`` its number of sets. A
-    set's prefix is all but what any similar set must still share with it, and one more."""
-    length = n - -(-PERCENT * n // 100) + 1
+
+def ranked(values: np.ndarray, of: np.ndarray, spread: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray]:
+    """The shingles of each set in one of the orders: where they are, and their ranks in their sets.
+
+    ``values`` are hashes grouped by their set ``of``, and ``spread`` is each hash's number of sets. Rare ones come first, by
+    their number or by its logarithm, then by a hash of their own to each order."""
+    rarity = spread if order == 0 else np.where(spread > 1, 1 + np.floor(np.log2(spread)), 0)
     first = np.flatnonzero(np.diff(of, prepend=-1))
-    place = np.arange(len(of)) - np.repeat(first, np.diff(np.append(first, len(of))))
-    out = []
-    for k in range(ORDERS):
-        rarity = spread if k == 0 else np.floor(np.log2(spread))
-        order = np.lexsort((mixed(values, 11 + k), rarity, of))
-        inside = np.zeros(len(of), bool)
-        inside[order] = place < length[order]
-        out.append(inside & (spread > 1))
-    return out
+    rank = np.arange(len(of)) - np.repeat(first, np.diff(np.append(first, len(of))))
+    return np.lexsort((mixed(values, 11 + order), rarity, of)), rank
 
 
 def _filter(buckets: int):
-    names = ["doc", "n", "shared", "p1", *(f"p{k + 1}" for k in range(1, ORDERS))]
+    names = ["doc", "n", "lone", "centre", "shared", *(f"p{k + 1}" for k in range(ORDERS))]
 
     def send(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        """The sets that may be linked: their shared shingles sorted by value, the longest prefix that any partner asks
+        for under each order, without the ``lone`` shingles that come before it, and how shared they are."""
         out = {c: [] for c in names}
         if not len(left) or not len(right):
             return pd.DataFrame(out)
@@ -156,21 +157,26 @@ def _filter(buckets: int):
         hit, at = found_at(bucket_codes(values, buckets), codes)
         spread = np.ones(len(values), np.int64)
         spread[hit] = counts[at[hit]]
-        inside = prefixes(values, of, sizes[of], spread)
+        orders = [values[ranked(values, of, spread, k)[0]] for k in range(ORDERS)]
         first = np.flatnonzero(np.diff(of, prepend=-1))
         for a, b in zip(first, np.append(first[1:], len(of)), strict=True):
-            if not inside[0][a:b].any():
+            n, lone = int(b - a), int((spread[a:b] == 1).sum())
+            longest = n - -(-PERCENT * n // 100) + 1
+            if lone >= longest:
                 continue
-            own, i = values[a:b], int(of[a])
+            i = int(of[a])
             out["doc"].append(int(chunk.ids[i]))
-            out["n"].append(int(sizes[i]))
-            out["shared"].append(own[spread[a:b] > 1].tobytes())
-            out["p1"].append(own[inside[0][a:b]].view(np.int64))
+            out["n"].append(n)
+            out["lone"].append(lone)
+            out["centre"].append(float(np.log2(spread[a:b]).mean()))
+            out["shared"].append(values[a:b][spread[a:b] > 1].tobytes())
+            out["p1"].append(orders[0][a + lone : a + longest].view(np.int64))
             for k in range(1, ORDERS):
-                out[f"p{k + 1}"].append(own[inside[k][a:b]].tobytes())
+                out[f"p{k + 1}"].append(orders[k][a + lone : a + longest].tobytes())
         return pd.DataFrame(out)
 
-    return send, "doc long, n long, shared binary, p1 array<long>" + "".join(f", p{k + 1} binary" for k in range(1, ORDERS))
+    schema = "doc long, n long, lone long, centre double, shared binary, p1 array<long>"
+    return send, schema + "".join(f", p{k + 1} binary" for k in range(1, ORDERS))
 
 
 def _common(a: bytes, b: bytes) -> int:
@@ -186,60 +192,61 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = batch.to_pydict()
         good = []
         for i in range(batch.num_rows):
-            linked = all(_common(rows[f"p{k}"][i], rows[f"p{k}_b"][i]) for k in range(2, ORDERS + 1))
-            if linked:
-                both = _common(rows["shared"][i], rows["shared_b"][i])
-                linked = 100 * both >= PERCENT * (rows["n"][i] + rows["n_b"][i] - both)
-            good.append(linked)
+            n, m = rows["n"][i], rows["n_b"][i]
+            least = least_common(n, m)
+            ends = [8 * max(0, size - least + 1 - rows[lone][i]) for size, lone in ((n, "lone"), (m, "lone_b"))]
+            linked = all(
+                _common(rows[f"p{k}"][i][: ends[0]], rows[f"p{k}_b"][i][: ends[1]]) for k in range(2, ORDERS + 1)
+            )
+            good.append(linked and _common(rows["shared"][i], rows["shared_b"][i]) >= least)
         yield pa.RecordBatch.from_arrays([batch.column("doc"), batch.column("doc_b"), pa.array(good, pa.bool_())], ["doc", "doc_b", "linked"])
 
 
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The links among candidate pairs ``doc, doc_b``; the sets travel to the pairs, two joins."""
-    columns = ["n", "shared", *(f"p{k}" for k in range(2, ORDERS + 1))]
+    columns = ["n", "lone", "shared", *(f"p{k}" for k in range(2, ORDERS + 1))]
     one = pairs.join(sets.select("doc", *columns), "doc")
     two = sets.select(F.col("doc").alias("doc_b"), *[F.col(c).alias(f"{c}_b") for c in columns])
     rows = one.join(two, "doc_b").select("doc", "doc_b", *columns, *[f"{c}_b" for c in columns])
     return rows.mapInArrow(_verify, "doc long, doc_b long, linked boolean").filter("linked").drop("linked")
 
 
-def _similar_sizes(n: str, m: str):
-    return 100 * F.least(n, m) >= PERCENT * F.greatest(n, m)
+def _early() -> Column:
+    """Whether a shingle that two sets share stands within the prefixes that these two ask for."""
+    least = F.ceil((F.col("n") + F.col("n_b")) * PERCENT / (100 + PERCENT))
+    return (F.col("rank") + least <= F.col("n")) & (F.col("rank_b") + least <= F.col("n_b"))
 
 
 def class_links(sets: DataFrame) -> DataFrame:
     """Links between classes that connect all that are similar: ``doc, doc_b``."""
-    own = sets.select("doc", "n", F.explode("p1").alias("token"))
-    hubs = own.groupBy("token").agg(F.min(F.struct("doc", "n")).alias("hub"), F.count("*").alias("size")).filter("size > 1")
-    near = own.join(hubs, "token").filter(F.col("doc") != F.col("hub.doc"))
-    tried = stage(
-        near.filter(_similar_sizes("n", "hub.n")).select("doc", F.col("hub.doc").alias("doc_b")).distinct(), "join-hub-pairs"
-    )
+    own = sets.select("doc", "n", "lone", "centre", F.posexplode("p1").alias("at", "token"))
+    own = own.select("doc", "n", "centre", (F.col("lone") + F.col("at")).alias("rank"), "token")
+    # the hub of a shingle is the set whose shingles are most shared: a text that others were made from
+    hub = F.max(F.struct("centre", (-F.col("doc")).alias("minus"), "n", "rank")).alias("hub")
+    hubs = own.groupBy("token").agg(hub, F.count("*").alias("size")).filter("size > 1")
+    hubs = hubs.select("token", (-F.col("hub.minus")).alias("doc_b"), F.col("hub.n").alias("n_b"), F.col("hub.rank").alias("rank_b"))
+    near = own.join(hubs, "token").filter((F.col("doc") != F.col("doc_b")) & _early())
+    pair = [F.greatest("doc", "doc_b").alias("doc"), F.least("doc", "doc_b").alias("doc_b")]
+    tried = stage(near.select(*pair).distinct(), "join-hub-pairs")
     links = stage(verified(tried, sets), "join-hub-links")
     group = components(links, "doc", "doc_b").withColumnRenamed("node", "doc")
     rows = stage(
-        own.join(group, "doc", "left").select("token", "doc", "n", F.coalesce("component", "doc").alias("component")),
+        own.join(group, "doc", "left").select("token", "doc", "n", "rank", "centre", F.coalesce("component", "doc").alias("component")),
         "join-tokens",
     )
-    # tokens with the same documents count once; tokens whose documents are all connected count no more
-    tokens = (
-        rows.groupBy("token")
-        .agg(
-            F.min(F.struct("doc", "component")).alias("hub"), F.count("*").alias("size"),
-            F.bit_xor(F.xxhash64("doc")).alias("who"), F.min("component").alias("low"), F.max("component").alias("high"),
-        )
-        .filter("low < high")
-        .groupBy("size", "who").agg(F.min(F.struct("token", F.col("hub.component").alias("main"))).alias("t"))
-        .select("t.token", "t.main")
+    # a shingle counts no more if all its sets are connected; those outside its hub's component meet all others
+    tokens = rows.groupBy("token").agg(
+        F.max(F.struct("centre", (-F.col("doc")).alias("minus"), "component")).alias("hub"),
+        F.min("component").alias("low"), F.max("component").alias("high"),
     )
-    rows = rows.join(tokens, "token")
-    apart = rows.filter("component != main")
-    other = rows.select("token", F.col("doc").alias("doc_b"), F.col("n").alias("n_b"), F.col("component").alias("component_b"), "main")
+    tokens = tokens.filter("low < high").select("token", F.col("hub.component").alias("main"))
+    rows = rows.drop("centre").join(tokens, "token")
+    apart = rows.filter("component != main").drop("main")
+    other = rows.select("token", *[F.col(c).alias(f"{c}_b") for c in ("doc", "n", "rank", "component")], "main")
     once = (F.col("component_b") == F.col("main")) | (F.col("doc") < F.col("doc_b"))
     pairs = (
-        apart.drop("main").join(other, "token")
-        .filter((F.col("component") != F.col("component_b")) & once & _similar_sizes("n", "n_b"))
-        .select(F.greatest("doc", "doc_b").alias("doc"), F.least("doc", "doc_b").alias("doc_b"))
+        apart.join(other, (apart["token"] == other["token"]) & (F.col("component") != F.col("component_b")) & once & _early())
+        .select(*pair)
         .distinct()
         .join(tried, ["doc", "doc_b"], "left_anti")
     )
