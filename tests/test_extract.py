@@ -168,3 +168,39 @@ def test_property_file(spark, tmp_path):
     assert [r["hpo_terms"] for r in rows] == [["HP:1", "HP:2"], [], ["HP:3"]]
     assert [r["isProband"] for r in rows] == [True, False, False]
     assert rows[0]["linked_specimens"] == ["SP2", "SP3"] and rows[0]["annotationTool"] == "VEP 97"
+
+
+def test_samples_without_family_or_laboratory_stay(spark):
+    rows, _ = parsed(spark, line("0/1,0/0,0/1", "5,5,9,0,9,9", FIRST))
+    loose = sheet(spark).withColumns({
+        "family_id": F.when(F.col("idx") != 2, F.col("family_id")), "lab": F.when(F.col("idx") != 1, F.col("lab"))})
+    members = spark.createDataFrame([], "ensembl_id string, member string")
+    document = mutation_etl.mutation_documents(rows, loose, members, F.lit("2020-03-24").cast("date")).first()
+    assert [(d["specimenId"], d["familyId"]) for d in document["donors"]] == [("SP00011", "FA1"), ("SP00036", None)]
+    counts = {k: (f["AC"], f["AN"], f["PN"]) for k, f in document["frequencies"].items()}
+    assert counts == {"interne": (2, 6, 2), "L1": (1, 2, 1), "L2": (1, 2, 1)}
+
+
+def test_lines_of_one_variant_are_joined(spark, tmp_path):
+    """The key takes the first alternative allele only: both lines are one variant, and no carrier is lost."""
+    rows, _ = parsed(
+        spark, line("0/1,0/0,0/0", "5,5,9,0,9,0", FIRST), line("0/0,0/0,0/1", "9,0,9,0,5,5", FIRST, alt="G,TT,<NON_REF>"),
+        line("0/1,0/0,0/0", "5,5,9,0,9,0", THIRD, alt="G,C"))
+    assert {r["uid"] for r in rows.collect()} == {"24CFF52FA825D6CD7DABCD955F42DF1C"}
+    members = spark.createDataFrame([], "ensembl_id string, member string")
+    today = F.lit("2020-03-24").cast("date")
+    document, = mutation_etl.mutation_documents(rows, sheet(spark), members, today).collect()
+    assert sorted(d["specimenId"] for d in document["donors"]) == sorted(document["specimenList"]) == ["SP00011", "SP00036"]
+    # a line without a new donor adds nothing
+    assert (document["frequencies"]["interne"]["AC"], document["frequencies"]["interne"]["AN"]) == (2, 12)
+    target = str(tmp_path / "state")
+    mutation_etl.run(rows, sheet(spark), members, today, target)
+    assert mutation_etl.read_state(spark, target)["donors"].count() == 2
+
+
+def test_half_a_state_is_an_error(spark, tmp_path):
+    import pytest
+
+    spark.range(1).write.parquet(str(tmp_path / "variants"))
+    with pytest.raises(Exception):
+        mutation_etl.read_state(spark, str(tmp_path))

@@ -209,16 +209,44 @@ def _group_key(a: Column) -> Column:
     )
 
 
+def _bound(value: Column, use) -> Column:
+    """``use`` of a value that is computed once, however often it is looked at."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _in_groups(records: Column, key, summary) -> Column:
+    """One ``summary`` per key of the records, in the order in which keys appear first.
+
+    The records' keys are made once and sorted once; groups are cut where the key changes. So a line's work grows with its
+    records (and the logarithm of their number), not with groups times records."""
+
+    def sort(of: Column) -> Column:
+        places = F.array_sort(F.transform(of, lambda r, i: F.struct(key(r).alias("key"), i.alias("at"))))
+        return _bound(F.struct(of.alias("records"), places.alias("places")), cut)
+
+    def cut(of: Column) -> Column:
+        places = of["places"]
+        differs = lambda i: F.get(places, i)["key"] != F.get(places, F.greatest(i - 1, F.lit(0)))["key"]
+        starts = F.filter(F.transform(places, lambda _, i: i), lambda i: (i == 0) | differs(i))
+        return _bound(F.struct(of.alias("of"), starts.alias("starts")), groups)
+
+    def groups(cut: Column) -> Column:
+        records, places, starts = cut["of"]["records"], cut["of"]["places"], cut["starts"]
+        runs = F.array_sort(F.transform(starts, lambda low, n: F.struct(
+            F.get(places, low)["at"].alias("at"), low.alias("low"),
+            (F.coalesce(F.get(starts, n + 1), F.size(places)) - low).alias("size"))))
+        members = lambda run: F.transform(
+            F.slice(places, run["low"] + 1, run["size"]), lambda place: F.get(records, place["at"]))
+        return F.transform(runs, lambda run: _bound(members(run), summary))
+
+    return _bound(records, sort)
+
+
 def consequence_groups(annotations: Column) -> Column:
     """Annotations of the line grouped by (symbol, amino-acid change, consequence set, coding change, strand).
 
     The first annotation of a group supplies gene id, impact, scores, predictions and biotype."""
-
-    def build(key: Column) -> Column:
-        members = F.filter(annotations, lambda a: _group_key(a) == key)
-        return F.transform(F.array(members), _summary)[0]
-
-    return F.transform(F.array_distinct(F.transform(annotations, _group_key)), build)
+    return _in_groups(annotations, _group_key, _summary)
 
 
 def _summary(members: Column) -> Column:
@@ -248,10 +276,7 @@ def _summary(members: Column) -> Column:
 
 def genes_of(annotations: Column) -> Column:
     """Distinct (gene id, symbol) of the line with the biotype seen first; records without a gene id have none."""
-    named = F.filter(annotations, lambda a: a["gene_id"].isNotNull())
-    key = lambda a: F.struct(a["gene_id"].alias("ensemblId"), a["symbol"].alias("geneSymbol"))
-    keys = F.array_distinct(F.transform(named, key))
-    return F.transform(keys, lambda k: F.struct(
-        k["ensemblId"].alias("ensemblId"), k["geneSymbol"].alias("geneSymbol"),
-        F.filter(named, lambda a: key(a) == k)[0]["biotype"].alias("biotype"),
-    ))
+    fields = lambda a: F.struct(
+        a["gene_id"].alias("ensemblId"), a["symbol"].alias("geneSymbol"), a["biotype"].alias("biotype"))
+    named = F.transform(F.filter(annotations, lambda a: a["gene_id"].isNotNull()), fields)
+    return _in_groups(named, lambda g: F.struct(g["ensemblId"], g["geneSymbol"]), lambda members: F.get(members, F.lit(0)))

@@ -281,10 +281,8 @@ class Inputs:
         return self.spark.read.parquet(f"{self.directory}/{name}.parquet")
 
     def spread(self, name: str, *keys: str) -> DataFrame:
-        """A table whose rows each become a wide text line: when it has fewer splits than the session has
-        cores, its narrow rows are spread first. Tables of many splits are read as they are."""
-        df, cores = self.table(name), self.spark.sparkContext.defaultParallelism
-        return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *keys)
+        """A table whose rows each become a wide text line: its narrow rows are dealt out first, at every size."""
+        return self.table(name).repartition(*keys)
 
     def view(self, name: str) -> DataFrame:
         text = _engine_text(VIEWS[name], "explode(array(", "))")

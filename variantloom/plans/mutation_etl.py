@@ -5,9 +5,10 @@ frequencies, donors, inheritance and annotations are expressions on the line's o
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from variantloom.functions import annotation as a
 from variantloom.functions.fields import double_or_null, non_empty, set_text
@@ -15,9 +16,9 @@ from variantloom.operators import merge as m
 from variantloom.operators.calls import line_frequency, line_lab_frequencies, with_calls
 from variantloom.operators.cohort import donors, lab_members, sample_sheet
 from variantloom.operators.genes import gene_profiles, reconcile_symbol, replaced_symbol
-from variantloom.operators.grouping import last_by_key, unnest
+from variantloom.operators.grouping import unnest
 from variantloom.session import checkpoint_dir
-from variantloom.sources.sinks import write_merged, write_table
+from variantloom.sources.sinks import COMPLETE, write_merged, write_table
 
 COUNTS = ("AC", "AN", "HC", "PN")
 
@@ -59,8 +60,10 @@ def _frequencies(calls: Column, sheet: Column, labs: Column, populations: Column
 
 
 def line_documents(rows: DataFrame, cohort: DataFrame, updated: Column, build: str = "GRCh38",
-                   tool: str | None = None) -> DataFrame:
-    """Keyed extract rows + sample sheet -> one nested document per line, without gene knowledge."""
+                   tool: str | None = None, carry: Sequence[str] = ()) -> DataFrame:
+    """Keyed extract rows + sample sheet -> one nested document per line, without gene knowledge.
+
+    ``carry`` names columns of the rows that go along, for ordering lines of one variant."""
     sheet, labs = sample_sheet(cohort), lab_members(cohort)
     keyed = [c for c in rows.columns if c not in ("chrom", "gt", "ad", "gq", "csq", "dp", "mq", "qd", "filter")]
     parsed = with_annotations(with_calls(rows))
@@ -74,7 +77,7 @@ def line_documents(rows: DataFrame, cohort: DataFrame, updated: Column, build: s
     })
     ids = lambda name: non_empty(F.col(f"ids.{name}"))
     return staged.select(
-        "uid", F.col("mutation_id").alias("mutationId"), F.col("dna_change").alias("dnaChange"),
+        *carry, "uid", F.col("mutation_id").alias("mutationId"), F.col("dna_change").alias("dnaChange"),
         F.col("contig").alias("chrom"), F.col("pos").alias("start"), F.col("ref").alias("refAllele"),
         F.col("alt").alias("altAllele"), F.lit(build).alias("assemblyVersion"),
         F.lit(tool).cast("string").alias("annotationTool"), updated.alias("lastAnnotationUpdate"),
@@ -138,23 +141,62 @@ def with_gene_knowledge(documents: DataFrame, members: DataFrame) -> DataFrame:
     )
 
 
-def unique_lines(rows: DataFrame, order: Sequence[Column] | None = None) -> DataFrame:
-    """One line per key; of repeated lines the first in ``order`` wins (default: by content)."""
-    return last_by_key(rows, ["uid"], order or [F.col("csq").desc(), F.col("gt").desc()])
+def _joined_document(stored: Column, new: Column, names: Sequence[str]) -> Column:
+    """A later line of one variant: its donors of new samples are appended; if there is one, its counters are added and
+    its laboratories inserted. Everything else stays as the first line has it."""
+    fresh = F.filter(new["donors"], lambda d: ~F.exists(stored["donors"], lambda o: o["specimenId"].eqNullSafe(d["specimenId"])))
+
+    def added(old: Column, more: Column) -> Column:
+        count = lambda c: F.coalesce(old[c], F.lit(0).cast("bigint")) + F.coalesce(more[c], F.lit(0).cast("bigint"))
+        af = F.when(count("AN") > 0, count("AC").cast("double") / count("AN")).otherwise(F.lit(0.0))
+        return F.struct(*[count(c).alias(c) for c in ("AC", "AN", "HC", "PN")], af.alias("AF"))
+
+    def both(name: Column, old: Column, more: Column) -> Column:
+        kept = name.isin(*a.POPULATIONS) | more.isNull()
+        return F.when(old.isNull(), more).when(kept, old).otherwise(added(old, more))
+
+    touched = F.size(fresh) > 0
+    frequencies = F.map_zip_with(stored["frequencies"], new["frequencies"], both)
+    changed = {
+        "donors": F.concat(stored["donors"], fresh),
+        "frequencies": F.when(touched, frequencies).otherwise(stored["frequencies"]),
+        "specimenList": F.transform(F.concat(stored["donors"], fresh), lambda d: d["specimenId"]),
+    }
+    return F.struct(*[changed.get(n, stored[n]).alias(n) for n in names])
+
+
+def joined_lines(documents: DataFrame, order: Sequence[str] = ()) -> DataFrame:
+    """One document per variant: lines that share a key are joined by the rule of the batch merge (H1, H2), in the
+    order of the given columns, which are dropped (default: by content). No donor is lost.
+
+    Only repeated variants are regrouped; a single line keeps its row. ``documents`` is read twice: stage it."""
+    names = [c for c in documents.columns if c not in order]
+    again = documents.groupBy("uid").count().where("count > 1").select("uid")
+    place = list(order) or [F.to_json(F.struct("donors", "frequencies", "consequences"))]
+    # documents hold maps, which cannot be sorted: lines are numbered and looked up by number
+    at = F.row_number().over(Window.partitionBy("uid").orderBy(*place))
+    lines = documents.join(again, "uid", "left_semi").withColumn("_at", at)
+    lines = lines.groupBy("uid").agg(F.map_from_entries(F.collect_list(F.struct("_at", F.struct(*names)))).alias("_lines"))
+    numbers = F.sequence(F.lit(1), F.size("_lines"))
+    ordered = lines.select(F.transform(numbers, lambda i: F.try_element_at("_lines", i)).alias("_lines"))
+    rest = F.slice("_lines", F.lit(2), F.size("_lines") - 1)
+    merged = F.aggregate(rest, F.get("_lines", F.lit(0)), lambda stored, new: _joined_document(stored, new, names))
+    return documents.join(again, "uid", "left_anti").select(*names).unionByName(
+        ordered.select(merged.alias("d")).select("d.*")
+    )
 
 
 def mutation_documents(rows: DataFrame, cohort: DataFrame, members: DataFrame, updated: Column,
-                       build: str = "GRCh38", tool: str | None = None,
-                       order: Sequence[Column] | None = None) -> DataFrame:
-    return with_gene_knowledge(line_documents(unique_lines(rows, order), cohort, updated, build, tool), members)
+                       build: str = "GRCh38", tool: str | None = None, order: Sequence[str] = ()) -> DataFrame:
+    return with_gene_knowledge(joined_lines(line_documents(rows, cohort, updated, build, tool, order), order), members)
 
 
 def staged_documents(rows: DataFrame, cohort: DataFrame, members: DataFrame, updated: Column, staging: str,
-                     build: str = "GRCh38", tool: str | None = None) -> DataFrame:
-    """The same documents with the line pass written to ``staging`` once. The gene join reads only its own
-    columns from there, so no line is parsed for it a second time."""
-    write_table(line_documents(rows, cohort, updated, build, tool), f"{staging}/lines")
-    return with_gene_knowledge(rows.sparkSession.read.parquet(f"{staging}/lines"), members)
+                     build: str = "GRCh38", tool: str | None = None, order: Sequence[str] = ()) -> DataFrame:
+    """The same documents with the line pass written to ``staging`` once. Annotation text stays in that narrow pass: it
+    is in no exchange and no sort. Repeated keys and genes are resolved on the staged rows."""
+    write_table(line_documents(rows, cohort, updated, build, tool, order), f"{staging}/lines")
+    return with_gene_knowledge(joined_lines(rows.sparkSession.read.parquet(f"{staging}/lines"), order), members)
 
 
 # ---- flat state ---------------------------------------------------------------------------------
@@ -194,17 +236,22 @@ def merge_state(state: dict[str, DataFrame], batch: dict[str, DataFrame]) -> dic
 
 
 def read_state(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    """The tables of a state that was written to its end; half a state is an error."""
     names = ("variants", "cohort", "labs", "donors", "gene_variants", "gene_aliases")
+    written = {r["name"] for r in spark.read.schema("name string").parquet(f"{folder}/{COMPLETE}").collect()}
+    if not written.issuperset(names):
+        raise ValueError(f"{folder} lacks {sorted(set(names) - written)}")
     return {name: spark.read.parquet(f"{folder}/{name}") for name in names}
 
 
 def run(rows: DataFrame, cohort: DataFrame, members: DataFrame, updated: Column, target: str,
-        state: str | None = None, build: str = "GRCh38", tool: str | None = None, batch_name: str = "batch") -> None:
+        state: str | None = None, build: str = "GRCh38", tool: str | None = None, batch_name: str | None = None) -> None:
     """Whole job. The line pass is written once to the shared folder, so a lost executor repeats tasks of the
-    current stage only and the extract is scanned once; then genes are joined and the state is merged."""
+    current stage only and the extract is scanned once; then repeated keys and genes are joined and the state is
+    merged. Each run stages in a folder of its own."""
     spark = rows.sparkSession
-    staging = f"{checkpoint_dir(spark)}/{batch_name}"
-    documents = staged_documents(unique_lines(rows), cohort, members, updated, staging, build, tool)
+    staging = f"{checkpoint_dir(spark)}/{batch_name or 'batch'}-{uuid.uuid4().hex}"
+    documents = staged_documents(rows, cohort, members, updated, staging, build, tool)
     write_table(documents, f"{staging}/documents")
     batch = flat_state(spark.read.parquet(f"{staging}/documents"))
     merged = batch if state is None else merge_state(read_state(spark, state), batch)

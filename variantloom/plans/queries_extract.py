@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from variantloom.functions import genotype as g
 from variantloom.operators import calls as c
+from variantloom.functions import annotation as a
 from variantloom.operators.cohort import donors, lab_members, sample_sheet
 from variantloom.operators.grouping import unnest
 from variantloom.plans import mutation_etl
@@ -162,24 +163,27 @@ def _(t):
 # ---- documents and sinks ------------------------------------------------------------------------
 
 def documents(t: Inputs) -> DataFrame:
-    rows = mutation_etl.unique_lines(extract.with_keys(parsed_lines(t), BUILD), [F.col(key) for key in LINE])
+    rows = extract.with_keys(parsed_lines(t), BUILD)
     staging = f"{checkpoint_dir(t.spark)}/documents-{uuid.uuid4().hex}"
     return mutation_etl.staged_documents(
-        rows, t.view("gx_sheet"), t.view("gx_members"), F.lit("2020-03-24").cast("date"), staging, BUILD, "VEP 97")
+        rows, t.view("gx_sheet"), t.view("gx_members"), F.lit("2020-03-24").cast("date"), staging, BUILD, "VEP 97", LINE)
 
 
-_UNIQUE = f"""uniq AS (SELECT * FROM (SELECT *, {MUTATION} AS mutation_id,
- row_number() OVER (PARTITION BY {MUTATION} ORDER BY {KEYS}) AS rn FROM gx_line WHERE {PRIMARY}) WHERE rn = 1)"""
-_CARRIERS = " + ".join(f"cast({_Z[i]} IN ('HET', 'HOM') AS int)" for i in range(SAMPLES))
+# lines of one variant in order; of each line the carriers, and whether it brings one that no earlier line has
+_REPEATS = f"""lines AS (SELECT *, {MUTATION} AS mutation_id,
+ row_number() OVER (PARTITION BY {MUTATION} ORDER BY {KEYS}) AS rn FROM gx_line WHERE {PRIMARY}),
+uniq AS (SELECT * FROM lines WHERE rn = 1),
+carried AS (SELECT mutation_id, {" + ".join(f"max(cast({_Z[i]} IN ('HET', 'HOM') AS int))" for i in range(SAMPLES))} AS donors
+ FROM lines GROUP BY mutation_id)"""
 
 
-@query("mutation_documents", f"""WITH {_UNIQUE}, {KEPT_RECORDS},
+@query("mutation_documents", f"""WITH {_REPEATS}, {KEPT_RECORDS},
 ann AS (SELECT {KEYS}, count(DISTINCT concat_ws('/', symbol, aa_change, consequence, cdna_change, strand)) AS consequences,
  max(score) AS score, count(DISTINCT CASE WHEN gene_id IS NOT NULL AND symbol <> '' THEN concat(gene_id, symbol) END) AS genes
  FROM rec GROUP BY {KEYS})
 SELECT upper(md5(concat(mutation_id, '@GRCh38'))) AS uid, mutation_id AS "mutationId", coalesce(score, 0) AS "impactScore",
- {_CARRIERS} AS donors, coalesce(consequences, 0) AS consequences, coalesce(genes, 0) AS genes
-FROM uniq LEFT JOIN ann USING ({KEYS})""", "gx_line")
+ donors, coalesce(consequences, 0) AS consequences, coalesce(genes, 0) AS genes
+FROM uniq JOIN carried USING (mutation_id) LEFT JOIN ann USING ({KEYS})""", "gx_line")
 def _(t):
     length = lambda column: F.coalesce(F.size(column), F.lit(0)).cast("bigint")
     return documents(t).select(
@@ -187,6 +191,27 @@ def _(t):
         length("consequences").alias("consequences"), length("genes").alias("genes"))
 
 
+_CARRIES = {i: f"cast({_Z[i]} IN ('HET', 'HOM') AS int)" for i in range(SAMPLES)}
+_EARLIER = "OVER (PARTITION BY mutation_id ORDER BY rn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+_NEW = " OR ".join(f"({_CARRIES[i]} = 1 AND coalesce(max({_CARRIES[i]}) {_EARLIER}, 0) = 0)" for i in range(SAMPLES))
+
+
+@query("mutation_repeated_keys", f"""WITH {_REPEATS}, {SAMPLE_ROWS},
+judged AS (SELECT *, rn = 1 OR {_NEW} AS counts FROM lines),
+tagged AS (SELECT {KEYS}, 'interne' AS lab, gt FROM smp UNION ALL SELECT {KEYS}, lab, gt FROM smp JOIN gx_sheet USING (idx)),
+per_line AS (SELECT {KEYS}, lab, {counters()} FROM tagged GROUP BY {KEYS}, lab),
+summed AS (SELECT mutation_id, lab, count(*) AS lines, cast(sum(ac) AS bigint) AS ac, cast(sum(an) AS bigint) AS an,
+  cast(sum(hc) AS bigint) AS hc, cast(sum(pn) AS bigint) AS pn
+ FROM judged JOIN per_line USING ({KEYS}) WHERE counts GROUP BY mutation_id, lab)
+SELECT mutation_id AS "mutationId", lab, ac, an, hc, pn, {AF}, donors FROM summed JOIN carried USING (mutation_id)
+""", "gx_line", "gx_sheet")
+def _(t):
+    """Lines that share a variant: the donors of all, the counters of those that bring a new one."""
+    found = documents(t).select("mutationId", F.size("donors").alias("donors"), F.explode("frequencies").alias("lab", "f"))
+    return found.where(~F.col("lab").isin(*a.POPULATIONS)).select(
+        "mutationId", "lab", *[F.col(f"f.{n}").alias(n.lower()) for n in ("AC", "AN", "HC", "PN", "AF")], "donors")
+
+
 @query("mutation_documents_json", None)
 def _(t):
     return sinks.documents_as_json(documents(t))
