@@ -36,6 +36,13 @@ def test_score_job(spark, tmp_path):
     got = {r["specimenId"]: r["exomiserScore"] for r in spark.read.parquet(f"{target}/donors").collect()}
     assert got == {"SP1": 0.5, "SP2": None}
     assert [r["mutation_id"] for r in spark.read.parquet(f"{target}/score_stubs").collect()] == ["chr1:g.6A>G"]
+    # the stub is part of the state: a second run finds it and makes no other
+    grown = {n: spark.read.parquet(f"{target}/{n}") for n in ("donors", "variants")}
+    assert grown["variants"].count() == 2 and grown["donors"].count() == 3
+    again = str(tmp_path / "again")
+    other_jobs.score_job(report, grown, "1", F.lit("2020-05-02").cast("date"), again)
+    assert spark.read.parquet(f"{again}/score_stubs").count() == 0
+    assert spark.read.parquet(f"{again}/variants").count() == 2
 
 
 def test_gene_index_job(spark, tmp_path):

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from variantloom.operators.frequency import COUNTERS, allele_frequency, cohort_frequency
 from variantloom.operators.grouping import last_by_key
@@ -93,6 +93,11 @@ def merge_scores(donors: DataFrame, variants: DataFrame, scores: DataFrame, key:
     return merged, scores.join(variants.select(key), key, "left_anti")
 
 
+def one_stub_per_key(stubs: DataFrame, key: str, score: Column, *ties: str) -> DataFrame:
+    """Of the scores whose variant is not stored, the best one per variant: the stub a document store would hold."""
+    return last_by_key(stubs, [key], [score.desc(), *[F.col(t) for t in ties]])
+
+
 def overwrite_by_key(state: DataFrame, batch: DataFrame, key: str, version: str) -> DataFrame:
     """One row per key, the latest version wins."""
     return last_by_key(state.unionByName(batch), [key], [F.col(version).desc()])

@@ -2,24 +2,32 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from variantloom.functions.keys import is_primary_contig
+from variantloom.operators.grouping import last_by_key
 from variantloom.operators import exomiser as ex, genes as gn, legacy as lg, merge as m, validation as va
-from variantloom.sources import extract, knowledge
+from variantloom.sources import extract
 from variantloom.sources.sinks import write_merged, write_table
 
 
 def score_job(report: DataFrame, state: dict[str, DataFrame], specimen: str, updated: Column, target: str,
               build: str = "GRCh38") -> None:
-    """Scores of one proband's report go to its donors; variants not stored yet become stub rows."""
+    """Scores of one proband's report go to its donors. Variants not stored yet become stubs, one per key, with the
+    scored sample as their donor; they are part of the state, so that the next batch finds them."""
     sample = ex.specimen_id(F.lit(specimen))
     scores = ex.score_rows(ex.flatten_report(report), build, sample, updated).withColumns({
         "exomiserScore": F.col("exomiser_score").cast("double"), "lastUpdate": F.col("last_update"),
-        "specimenId": F.col("specimen")})
-    donors, stubs = m.merge_scores(
+        "specimenId": F.col("specimen"), "mutationId": F.col("mutation_id")})
+    donors, absent = m.merge_scores(
         state["donors"], state["variants"], scores, "uid", "specimenId", "exomiserScore", "lastUpdate")
-    write_merged({"donors": donors.select(*state["donors"].columns), "score_stubs": stubs}, target)
+    stubs = m.one_stub_per_key(absent.withColumn("_modes", F.to_json("transmission")), "uid", F.col("exomiserScore"), "specimenId", "_modes").drop("_modes")
+    as_in = lambda name: stubs.select(*[c for c in state[name].columns if c in stubs.columns])
+    grown = {
+        "donors": donors.select(*state["donors"].columns).unionByName(as_in("donors"), allowMissingColumns=True),
+        "variants": state["variants"].unionByName(as_in("variants"), allowMissingColumns=True),
+    }
+    write_merged({**state, **grown, "score_stubs": stubs}, target)
 
 
 def gene_index_job(gene_info: DataFrame, members: DataFrame, target: str) -> None:
@@ -35,17 +43,17 @@ def validation_job(lines: DataFrame, stored: DataFrame, build: str = "GRCh38") -
 
 
 def legacy_job(rows: DataFrame, target: str, state: str | None = None, **donor: Column) -> None:
-    """Older extract: variants once per key, donors appended per (key, donor)."""
+    """Older extract: variants once per key, donors appended per (key, donor). Of repeated lines the first by content
+    counts, whatever the partitions; a variant that comes again is stored anew (H6)."""
     documents = lg.variant_documents(rows, **donor)
-    variants = documents.drop("donor").dropDuplicates(["uid"])
-    donors = documents.select("uid", "donor.*").dropDuplicates(["uid", "donorId"])
+    columns = [c for c in documents.columns if c not in ("uid", "donor")]
+    by_content = [F.to_json(F.struct(*columns, "donor"))]
+    variants = last_by_key(documents, ["uid"], by_content).drop("donor")
+    owned = documents.withColumn("donorId", F.col("donor.donorId"))
+    donors = last_by_key(owned, ["uid", "donorId"], by_content).select("uid", "donor.*")
     if state is not None:
         spark = rows.sparkSession
         old_variants, old_donors = (spark.read.parquet(f"{state}/{n}") for n in ("variants", "donors"))
-        variants = old_variants.unionByName(variants.join(old_variants.select("uid"), "uid", "left_anti"))
+        variants = old_variants.join(variants.select("uid"), "uid", "left_anti").unionByName(variants)
         donors = m.append_missing(old_donors, donors, "uid", "donorId")
     write_merged({"variants": variants, "donors": donors}, target)
-
-
-def read_legacy(spark: SparkSession, path: str) -> DataFrame:
-    return knowledge.read_legacy_extract(spark, path)

@@ -212,9 +212,17 @@ def _(t):
         "mutationId", "lab", *[F.col(f"f.{n}").alias(n.lower()) for n in ("AC", "AN", "HC", "PN", "AF")], "donors")
 
 
-@query("mutation_documents_json", None)
+@query("mutation_documents_json", f"""WITH {_REPEATS}, {KEPT_RECORDS},
+ann AS (SELECT {KEYS}, max(score) AS score FROM rec GROUP BY {KEYS})
+SELECT upper(md5(concat(mutation_id, '@GRCh38'))) AS uid, mutation_id AS "mutationId", coalesce(score, 0) AS "impactScore",
+ substr(chrom, 4) AS chrom, pos AS start, ref AS "refAllele", replace(alt, ',<NON_REF>', '') AS "altAllele", donors
+FROM uniq JOIN carried USING (mutation_id) LEFT JOIN ann USING ({KEYS})""", "gx_line")
 def _(t):
-    return sinks.documents_as_json(documents(t))
+    """The documents as JSON text, read back."""
+    schema = ("mutationId string, impactScore int, chrom string, start bigint, refAllele string, altAllele string, "
+              "donors array<struct<specimenId: string>>")
+    read = sinks.documents_as_json(documents(t)).select("uid", F.from_json("document", schema).alias("d"))
+    return read.select("uid", "d.*").withColumn("donors", F.coalesce(F.size("donors"), F.lit(0)).cast("bigint"))
 
 
 @query("sink_roundtrip", f"""

@@ -180,6 +180,21 @@ def _(t):
         F.round(F.col("exomiser_score").cast("double"), 5).alias("exomiser_score"), "specimen")
 
 
+@query("score_stubs_unique", f"""WITH {RANKED}, {_STORED}
+SELECT mutation_id, inheritance AS transmission, score AS exomiser_score, concat('SP', position % 2) AS specimen FROM (
+ SELECT *, row_number() OVER (PARTITION BY mutation_id ORDER BY score DESC, position % 2, inheritance) AS rn FROM keyed
+ WHERE mutation_id NOT IN (SELECT mutation_id FROM stored)) WHERE rn = 1""", "gx_line")
+def _(t):
+    """One stub per variant that is not stored, as the score job adds them to its state."""
+    stored = _stored(t)
+    donors = stored.select("uid", F.lit("SP0").alias("specimen"))
+    _, absent = m.merge_scores(donors, stored, _scores(t), "uid", "specimen")
+    absent = absent.withColumns({
+        "transmission": F.array_join("transmission", ","), "exomiser_score": F.round(F.col("exomiser_score").cast("double"), 5)})
+    stubs = m.one_stub_per_key(absent, "uid", F.col("exomiser_score"), "specimen", "transmission")
+    return stubs.select("mutation_id", "transmission", "exomiser_score", "specimen")
+
+
 # ---- validation ---------------------------------------------------------------------------------
 
 @query("validate_load", """
