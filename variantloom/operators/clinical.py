@@ -131,6 +131,19 @@ def hpo_matches(gene_terms: DataFrame, patient_terms: DataFrame, gene: str, pati
     return hits.groupBy(patient).agg(F.sum("_genes").alias("matches"))
 
 
+def hpo_matches_per_variant(carriers: DataFrame, variant_genes: DataFrame, gene_terms: DataFrame,
+                            patient_terms: DataFrame, variant: str, gene: str, patient: str, code: str) -> DataFrame:
+    """Number of (gene, phenotype code) hits of each affected carrier among the genes of the variant.
+
+    Starts from the carriers' calls; a variant's genes are counted per code first."""
+    codes = (
+        variant_genes.select(variant, gene).distinct().join(gene_terms.select(gene, code).distinct(), gene)
+        .groupBy(variant, code).agg(F.count(F.lit(1)).alias("_genes"))
+    )
+    terms = carriers.select(variant, patient).distinct().join(patient_terms.select(patient, code).distinct(), patient)
+    return terms.join(codes, [variant, code]).groupBy(variant, patient).agg(F.sum("_genes").alias("matches"))
+
+
 def affected_terms(patients: DataFrame, ped: DataFrame, specimen: str, codes: str, phenotype: str = "phenotype"
                    ) -> DataFrame:
     """(sample, code) rows of affected members: own codes plus a pedigree phenotype that is a code itself."""

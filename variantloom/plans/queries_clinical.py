@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from variantloom.functions.genotype import is_affected
+from variantloom.functions.genotype import CARRIER, is_affected, zygosity
 from variantloom.operators import clinical as cl, genes as gn
 from variantloom.plans.bridge import Inputs
+from variantloom.plans.queries_calls import z
 from variantloom.plans.registry import query
 
 
@@ -114,6 +115,19 @@ def hpo_match_count(t):
     return cl.hpo_matches(_gene_terms(t), _terms(t), "ensembl_id", "specimen", "code")
 
 
+@query("hpo_match_per_variant", f"""WITH {MATCHES}
+SELECT site_id, specimen, cast(count(*) AS bigint) AS matches
+FROM (SELECT DISTINCT site_id, specimen FROM gx_calls WHERE {z()} IN ('HET', 'HOM')) JOIN terms USING (specimen)
+JOIN (SELECT DISTINCT site_id, gene_id AS ensembl_id FROM gx_ann) USING (site_id)
+JOIN (SELECT DISTINCT ensembl_id, string_split(member, ',')[1] AS code FROM gx_members WHERE member LIKE 'HP:%') g
+ USING (ensembl_id, code) GROUP BY site_id, specimen""", "gx_patients", "gx_ped", "gx_members", "gx_calls", "gx_ann")
+def _(t):
+    carriers = t.view("gx_calls").where(zygosity(F.col("gt")).isin(*CARRIER))
+    genes = t.view("gx_ann").select("site_id", F.col("gene_id").alias("ensembl_id"))
+    return cl.hpo_matches_per_variant(
+        carriers, genes, _gene_terms(t), _terms(t), "site_id", "ensembl_id", "specimen", "code")
+
+
 @query("donor_phenotypes", f"""WITH {MATCHES}
 SELECT specimen, CASE WHEN phenotype <> '1' AND coalesce(matches, 0) > 0 THEN concat_ws(',', hpo_a, hpo_b,
  CASE WHEN length(phenotype) > 2 THEN phenotype END) END AS phenotypes
