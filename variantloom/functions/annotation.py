@@ -45,6 +45,11 @@ ID_SETS = {
 }
 
 
+def bound_once(value: Column, use) -> Column:
+    """``use`` of a value that is computed once, however often it is looked at."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def split_records(csq: Column) -> Column:
     """Comma list of records -> array of field arrays (trailing empty records dropped)."""
     records = F.split(F.rtrim(csq, F.lit(",")), ",")
@@ -88,29 +93,39 @@ def transcript_predictions(fields: Column) -> Column:
     def raw(name: str) -> Column:
         return fields[_AT[name]]
 
-    def listed(name: str) -> Column:
-        return F.split(raw(name), "&")
+    # each list is split once for the record, not once for each of its transcripts
+    names = (
+        "Ensembl_transcriptid", "FATHMM_rankscore", "FATHMM_pred", "SIFT_pred", "SIFT_rankscore", "Polyphen2_HVAR_pred",
+        "Polyphen2_HVAR_rankscore",
+    )
+    lists = F.struct(*[F.split(raw(n), "&").alias(n) for n in names])
+    whole = F.struct(
+        code_table(LRT_CODES, raw("LRT_pred")).alias("LRT_pred"), double_or_null(raw("LRT_rankscore")).alias("LRT_score"),
+        double_or_null(raw("REVEL_rankscore")).alias("REVEL_score"),
+        double_or_null(raw("DANN_rankscore")).alias("DANN_score"),
+        double_or_null(raw("CADD_raw_rankscore")).alias("CADD_score"),
+    )
 
-    single_score = F.size(listed("SIFT_rankscore")) <= 1
+    def entries(bound: Column) -> Column:
+        of, own = bound["lists"], bound["whole"]
+        single_score = F.size(of["SIFT_rankscore"]) <= 1
 
-    def one(transcript: Column, i: Column) -> Column:
-        at = F.when(single_score, F.lit(0)).otherwise(i)
-        return F.struct(
-            transcript.alias("id"),
-            double_or_null(F.get(listed("FATHMM_rankscore"), at)).alias("FATHMM_score"),
-            code_table(FATHMM_CODES, F.get(listed("FATHMM_pred"), i)).alias("FATHMM"),
-            code_table(SIFT_CODES, F.get(listed("SIFT_pred"), i)).alias("SIFT"),
-            double_or_null(F.get(listed("SIFT_rankscore"), at)).alias("SIFT_score"),
-            code_table(POLYPHEN2_HVAR_CODES, F.get(listed("Polyphen2_HVAR_pred"), i)).alias("Polyphen2_HVAR_pred"),
-            double_or_null(F.get(listed("Polyphen2_HVAR_rankscore"), at)).alias("Polyphen2_HVAR_score"),
-            code_table(LRT_CODES, raw("LRT_pred")).alias("LRT_pred"),
-            double_or_null(raw("LRT_rankscore")).alias("LRT_score"),
-            double_or_null(raw("REVEL_rankscore")).alias("REVEL_score"),
-            double_or_null(raw("DANN_rankscore")).alias("DANN_score"),
-            double_or_null(raw("CADD_raw_rankscore")).alias("CADD_score"),
-        )
+        def one(transcript: Column, i: Column) -> Column:
+            at = F.when(single_score, F.lit(0)).otherwise(i)
+            return F.struct(
+                transcript.alias("id"),
+                double_or_null(F.get(of["FATHMM_rankscore"], at)).alias("FATHMM_score"),
+                code_table(FATHMM_CODES, F.get(of["FATHMM_pred"], i)).alias("FATHMM"),
+                code_table(SIFT_CODES, F.get(of["SIFT_pred"], i)).alias("SIFT"),
+                double_or_null(F.get(of["SIFT_rankscore"], at)).alias("SIFT_score"),
+                code_table(POLYPHEN2_HVAR_CODES, F.get(of["Polyphen2_HVAR_pred"], i)).alias("Polyphen2_HVAR_pred"),
+                double_or_null(F.get(of["Polyphen2_HVAR_rankscore"], at)).alias("Polyphen2_HVAR_score"),
+                *[own[n].alias(n) for n in ("LRT_pred", "LRT_score", "REVEL_score", "DANN_score", "CADD_score")],
+            )
 
-    return F.transform(listed("Ensembl_transcriptid"), one)
+        return F.transform(of["Ensembl_transcriptid"], one)
+
+    return bound_once(F.struct(lists.alias("lists"), whole.alias("whole")), entries)
 
 
 def has_transcripts(fields: Column) -> Column:
@@ -130,10 +145,15 @@ def prediction_table(records: Column, source: Column) -> Column:
 
 def matched_predictions(records: Column, predictions: Column, source: Column) -> Column:
     """Per record the prediction entry of its transcript. The table counts only from position ``source`` on."""
-    return F.transform(records, lambda fields, i: F.when(
-        (source >= 0) & (i >= source),
-        F.try_element_at(F.filter(predictions, lambda p: p["id"] == fields[_AT["Feature"]]), F.lit(-1)),
-    ))
+    ids = F.reverse(F.transform(predictions, lambda p: p["id"]))
+
+    def look_up(ids: Column) -> Column:
+        # the last entry of a transcript counts
+        return F.transform(records, lambda fields, i: F.when(
+            (source >= 0) & (i >= source) & F.array_contains(ids, fields[_AT["Feature"]]),
+            F.get(predictions, (F.size(ids) - F.array_position(ids, fields[_AT["Feature"]])).cast("int"))))
+
+    return bound_once(ids, look_up)
 
 
 def parse_records(records: Column, matches: Column, ref: Column, alt: Column) -> Column:
@@ -209,11 +229,6 @@ def _group_key(a: Column) -> Column:
     )
 
 
-def _bound(value: Column, use) -> Column:
-    """``use`` of a value that is computed once, however often it is looked at."""
-    return F.get(F.transform(F.array(value), use), F.lit(0))
-
-
 def _in_groups(records: Column, key, summary) -> Column:
     """One ``summary`` per key of the records, in the order in which keys appear first.
 
@@ -222,13 +237,13 @@ def _in_groups(records: Column, key, summary) -> Column:
 
     def sort(of: Column) -> Column:
         places = F.array_sort(F.transform(of, lambda r, i: F.struct(key(r).alias("key"), i.alias("at"))))
-        return _bound(F.struct(of.alias("records"), places.alias("places")), cut)
+        return bound_once(F.struct(of.alias("records"), places.alias("places")), cut)
 
     def cut(of: Column) -> Column:
         places = of["places"]
         differs = lambda i: F.get(places, i)["key"] != F.get(places, F.greatest(i - 1, F.lit(0)))["key"]
         starts = F.filter(F.transform(places, lambda _, i: i), lambda i: (i == 0) | differs(i))
-        return _bound(F.struct(of.alias("of"), starts.alias("starts")), groups)
+        return bound_once(F.struct(of.alias("of"), starts.alias("starts")), groups)
 
     def groups(cut: Column) -> Column:
         records, places, starts = cut["of"]["records"], cut["of"]["places"], cut["starts"]
@@ -237,9 +252,9 @@ def _in_groups(records: Column, key, summary) -> Column:
             (F.coalesce(F.get(starts, n + 1), F.size(places)) - low).alias("size"))))
         members = lambda run: F.transform(
             F.slice(places, run["low"] + 1, run["size"]), lambda place: F.get(records, place["at"]))
-        return F.transform(runs, lambda run: _bound(members(run), summary))
+        return F.transform(runs, lambda run: bound_once(members(run), summary))
 
-    return _bound(records, sort)
+    return bound_once(records, sort)
 
 
 def consequence_groups(annotations: Column) -> Column:
