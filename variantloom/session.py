@@ -1,10 +1,11 @@
-"""Session settings the engine is designed for, and the shared checkpoint folder."""
+"""Session settings the engine is designed for, and the shared folder for intermediate tables."""
 
 from __future__ import annotations
 
 import tempfile
+from functools import lru_cache
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 # Everything here is a standard Spark SQL option; on a cluster they belong in the job's own configuration.
 SETTINGS = {
@@ -35,11 +36,17 @@ def session(master: str | None = None, shuffle_partitions: int | None = None, **
     return builder.getOrCreate()
 
 
+@lru_cache(maxsize=1)
+def _local_folder() -> tempfile.TemporaryDirectory:
+    """One folder for the process, removed when it ends."""
+    return tempfile.TemporaryDirectory(prefix="variantloom-", ignore_cleanup_errors=True)
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder for cut lineage and intermediate tables.
+    """The shared folder for intermediate tables.
 
     The cluster names it in ``spark.checkpoint.dir``; only a local session without that setting
-    gets a temporary folder of its own."""
+    gets a temporary folder, one for the process."""
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
         "spark.checkpoint.dir"
     )
@@ -47,12 +54,4 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return configured
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a shared folder")
-    return tempfile.mkdtemp(prefix="variantloom-")
-
-
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the shared folder: survives the loss of any executor."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(checkpoint_dir(df.sparkSession))
-    return df.checkpoint()
+    return _local_folder().name
