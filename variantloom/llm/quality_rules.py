@@ -19,8 +19,8 @@ from variantloom.llm.textstats import with_text_counts
 SAMPLE_ROWS = 8000
 #: Folds of the labels, the last of which is kept for measuring.
 FOLDS = 5
-#: A rule must be right for this share of what it rejects, while it is grown from and while it is pruned.
-PRECISION = 0.9
+#: A rule must be right for this share of the labelled rows that it rejects.
+PRECISION = 0.97
 
 
 @dataclass(frozen=True)
@@ -90,15 +90,17 @@ def _grow(x: dict[str, np.ndarray], bad: np.ndarray, most_tests: int) -> list[Te
     return rule
 
 
-def _prune(rule: list[Test], x: dict[str, np.ndarray], bad: np.ndarray) -> list[Test]:
-    """The shortest beginning of a rule with the best (hits - misses) / covered on rows it was not grown from."""
+def _prune(rule: list[Test], x: dict[str, np.ndarray], bad: np.ndarray, precise) -> list[Test]:
+    """The shortest beginning of a rule with the best (hits - misses) / covered on rows it was not grown from, among
+    those that are precise; the whole rule if none is."""
 
     def worth(r: list[Test]) -> float:
         inside = _covers(r, x, len(bad))
         p, n = int((inside & bad).sum()), int((inside & ~bad).sum())
         return (p - n) / (p + n) if p + n else -1.0
 
-    return max((rule[:k] for k in range(1, len(rule) + 1)), key=lambda r: (worth(r), -len(r))) if rule else rule
+    beginnings = [rule[:k] for k in range(1, len(rule) + 1) if precise(rule[:k])]
+    return max(beginnings, key=lambda r: (worth(r), -len(r)), default=rule)
 
 
 def learn(x: dict[str, np.ndarray], bad: np.ndarray, most_rules: int = 24, most_tests: int = 4, seed: int = 5) -> list[Rule]:
@@ -109,9 +111,14 @@ def learn(x: dict[str, np.ndarray], bad: np.ndarray, most_rules: int = 24, most_
         fold = fresh.integers(0, 3, len(at)) > 0
         grow, prune = at[fold], at[~fold]
         part = lambda rows: ({k: v[rows] for k, v in x.items()}, bad[rows])
-        rule = _prune(_grow(*part(grow), most_tests), *part(prune))
+
+        def precise(rule: list[Test]) -> bool:
+            inside = _covers(rule, x, len(bad)) & left
+            return bool(inside.any()) and bad[inside].mean() >= PRECISION
+
+        rule = _prune(_grow(*part(grow), most_tests), *part(prune), precise)
         inside = _covers(rule, x, len(bad)) & left
-        if not rule or not inside.any() or bad[inside].mean() < PRECISION or (inside & bad).sum() < 3:
+        if not rule or not precise(rule) or (inside & bad).sum() < 3:
             break
         rules.append(tuple(rule))
         left &= ~inside
