@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from variantloom.llm import line_dedup, mixing, ngram_join, packing, quality_neighbours
-from variantloom.llm.common import stage, table
+from variantloom.llm.common import clear, importable, stage, table, work_folder
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,8 +43,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Applies the stages to ``documents``, each on the written result of the one before."""
-    docs = table(spark, sf_dir, "documents")
+    """Applies the stages to ``documents``, each on the written result of the one before, which then goes."""
+    importable(spark)
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, step in STAGES:
-        docs = stage(step(spark, docs, sf_dir), f"pipeline-{name}")
+        folder = work_folder(spark, f"pipeline-{name}")
+        docs = stage(step(spark, docs, sf_dir), name, folder)
+        if before:
+            clear(spark, before)
+        before = folder
     return docs

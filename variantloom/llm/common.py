@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import os
 import uuid
 from collections.abc import Iterator, Sequence
 from itertools import chain
+from pathlib import Path
 
 import numpy as np
 import xxhash
@@ -24,14 +26,35 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
-    """Writes ``df`` to the shared folder and reads it again: computed once, and safe from lost executors."""
+def importable(spark: SparkSession) -> None:
+    """Lets Python tasks import this library from where the driver has it, whatever the working folder is."""
+    root = str(Path(__file__).resolve().parents[2])
+    paths = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in paths:
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [root, *paths]))
+
+
+def work_folder(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def stage(df: DataFrame, name: str, under: str | None = None) -> DataFrame:
+    """Writes ``df`` to the shared folder and reads it again: computed once, and safe from lost executors.
+
+    ``under`` is a work folder that is cleared once nothing in it is read any more."""
     spark = df.sparkSession
-    path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = work_folder(spark, name) if under is None else f"{under}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def clear(spark: SparkSession, folder: str) -> None:
+    """Removes a work folder, wherever the shared folder is."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def words(text: str | None) -> list[bytes]:
     """The words of a text as UTF-8; ``bytes.split`` parts at exactly the characters of ``WORD``."""
     return text.encode().split() if text else []
@@ -101,16 +124,22 @@ def crc_fold(column: str, modulus: int) -> Column:
 
 
 def running_total(
-    df: DataFrame, groups: Sequence[str], value: Column, order: Sequence[str], out: str, buckets: int
+    df: DataFrame, groups: Sequence[str], value: Column, order: Sequence[str], out: str, buckets: int,
+    narrow: DataFrame | None = None,
 ) -> DataFrame:
     """Adds ``out``: the sum of ``value`` over the rows of the same group that come earlier.
 
     A group is dealt into ``buckets`` by a hash of its order columns and the buckets follow each other, so no
-    task holds a whole group. ``df`` is read twice: stage it first. ``groups`` hold no nulls. Rows that
-    agree in all order columns follow each other in any order."""
-    df = df.withColumn("_bucket", F.pmod(F.xxhash64(*order), F.lit(buckets))).withColumn("_value", value)
+    task holds a whole group. ``df`` is read twice: stage it first, or give the same rows staged without their wide
+    columns as ``narrow``. ``groups`` hold no nulls. Rows that agree in all order columns follow each other in any
+    order."""
+
+    def dealt(rows: DataFrame) -> DataFrame:
+        return rows.withColumn("_bucket", F.pmod(F.xxhash64(*order), F.lit(buckets))).withColumn("_value", value)
+
     keys = [*groups, "_bucket"]
-    sums = df.groupBy(*keys).agg(F.sum("_value").alias("_sum"))
+    sums, df = dealt(df if narrow is None else narrow), dealt(df)
+    sums = sums.groupBy(*keys).agg(F.sum("_value").alias("_sum"))
     before = Window.partitionBy(*groups).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, 0)
     sums = sums.select(*keys, (F.sum("_sum").over(before) - F.col("_sum")).alias("_first"))
     inside = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)

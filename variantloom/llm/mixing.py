@@ -163,17 +163,27 @@ def slots(spark, plan: Plan) -> DataFrame:
     return spark.range(0, plan.shards, 1, parts).mapInPandas(draw, schema)
 
 
-def source_runs(docs: DataFrame, *carry: Column) -> tuple[DataFrame, list[tuple[str | None, int]]]:
-    """Every document with its number of words, its source's number and where its words start in the source.
+def source_runs(docs: DataFrame, *carry: Column) -> tuple[DataFrame, DataFrame, list[tuple[str | None, int]]]:
+    """Every document with its number of words ``_size``, its source's number ``_index`` and where its words start in the
+    source, ``_start``: once narrow, once with the columns to carry. And each source's total.
 
-    Returns that staged table and each source's total: one entry per source goes to the driver."""
+    Only sizes are staged; one entry per source goes to the driver."""
     size = F.regexp_count(F.coalesce("text", F.lit("")), F.lit(WORD)).cast("long")
-    rows = stage(docs.select("doc_id", "source", size.alias("_size"), *carry), "mix-sizes")
-    totals = [(r["source"], r["n"]) for r in rows.groupBy("source").agg(F.sum("_size").alias("n")).collect()]
+    sizes = stage(docs.select("doc_id", "source", size.alias("_size")), "mix-sizes")
+    totals = [(r["source"], r["n"]) for r in sizes.groupBy("source").agg(F.sum("_size").alias("n")).collect()]
     names = sorted((s for s, _ in totals), key=lambda s: (s is None, s or ""))
     index = docs.sparkSession.createDataFrame([(s, i) for i, s in enumerate(names)], "_name string, _index int")
-    rows = rows.join(index, rows["source"].eqNullSafe(index["_name"])).drop("_name", "source")
-    return running_total(rows, ["_index"], F.col("_size"), ["doc_id", "_size"], "_start", BUCKETS), totals
+
+    def numbered(rows: DataFrame) -> DataFrame:
+        return rows.join(index, rows["source"].eqNullSafe(index["_name"])).drop("_name", "source")
+
+    order = ["doc_id", "_size"]
+    narrow = numbered(sizes)
+    runs = running_total(narrow, ["_index"], F.col("_size"), order, "_start", BUCKETS)
+    if not carry:
+        return runs, runs, totals
+    wide = numbered(docs.select("doc_id", "source", size.alias("_size"), *carry))
+    return runs, running_total(wide, ["_index"], F.col("_size"), order, "_start", BUCKETS, narrow), totals
 
 
 def taken_parts(runs: DataFrame, plan: Plan) -> DataFrame:
@@ -200,7 +210,7 @@ def mixed_sizes(docs: DataFrame, cycle: Sequence[float] = (3, 1, 2), share: floa
 
     A null or empty text has size 0 and nothing is taken of it. Null sources are one source, the last. Repeated rows
     are documents of their own. Reruns give the same counts."""
-    runs, totals = source_runs(docs)
+    runs, _, totals = source_runs(docs)
     plan = make_plan(totals, cycle, share, most, **plan)
     taken = taken_parts(runs, plan).groupBy("_index", "_start").agg(F.sum(F.col("end") - F.col("first")).alias("taken"))
     sizes = docs.sparkSession.createDataFrame(
@@ -223,10 +233,10 @@ def mixed_documents(docs: DataFrame, cycle: Sequence[float] = (3, 1, 2), share:
 
     A document of which nothing is taken is not in the mix; ``n_chars``, if there is one, follows the text."""
     rest = [c for c in docs.columns if c != "text"]
-    runs, totals = source_runs(docs, "text", F.struct(*[F.col(f"`{c}`") for c in rest]).alias("_row"))
+    runs, wide, totals = source_runs(docs, "text", F.struct(*[F.col(f"`{c}`") for c in rest]).alias("_row"))
     plan = make_plan(totals, cycle, share, most, **plan)
     part = F.struct("turn", "first", "end")
-    parts = taken_parts(runs.select("_index", "_start", "_size"), plan)
+    parts = taken_parts(runs, plan)
     parts = parts.groupBy("_index", "_start").agg(F.sort_array(F.collect_list(part)).alias("_parts"))
     word = re.compile(WORD)
 
@@ -246,7 +256,7 @@ def mixed_documents(docs: DataFrame, cycle: Sequence[float] = (3, 1, 2), share:
 
         return pd.Series([one(t, p) for t, p in zip(text, parts, strict=True)], dtype=object)
 
-    out = runs.filter("_size > 0").join(parts, ["_index", "_start"]).select("_row", cut("text", "_parts").alias("text"))
+    out = wide.filter("_size > 0").join(parts, ["_index", "_start"]).select("_row", cut("text", "_parts").alias("text"))
 
     def column(name: str) -> Column:
         if name == "n_chars":

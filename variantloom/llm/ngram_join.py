@@ -25,7 +25,7 @@ from variantloom.llm.chunks import (
     Chunk, bucket_codes, bucket_count, chunked, found_at, joined_arrays, opened, pack, pack_sorted, runs_of, unpack,
     unpack_sorted,
 )
-from variantloom.llm.common import hashed_words, mixed, stage, window_hashes, window_starts
+from variantloom.llm.common import clear, hashed_words, mixed, stage, window_hashes, window_starts, work_folder
 from variantloom.llm.components import components
 
 SHINGLE_WORDS = 5
@@ -217,8 +217,8 @@ def _early() -> Column:
     return (F.col("rank") + least <= F.col("n")) & (F.col("rank_b") + least <= F.col("n_b"))
 
 
-def class_links(sets: DataFrame) -> DataFrame:
-    """Links between classes that connect all that are similar: ``doc, doc_b``."""
+def class_links(sets: DataFrame, under: str) -> DataFrame:
+    """Links between classes that connect all that are similar: ``doc, doc_b``. Works in a folder of its caller."""
     own = sets.select("doc", "n", "lone", "centre", F.posexplode("p1").alias("at", "token"))
     own = own.select("doc", "n", "centre", (F.col("lone") + F.col("at")).alias("rank"), "token")
     # the hub of a shingle is the set whose shingles are most shared: a text that others were made from
@@ -227,12 +227,12 @@ def class_links(sets: DataFrame) -> DataFrame:
     hubs = hubs.select("token", (-F.col("hub.minus")).alias("doc_b"), F.col("hub.n").alias("n_b"), F.col("hub.rank").alias("rank_b"))
     near = own.join(hubs, "token").filter((F.col("doc") != F.col("doc_b")) & _early())
     pair = [F.greatest("doc", "doc_b").alias("doc"), F.least("doc", "doc_b").alias("doc_b")]
-    tried = stage(near.select(*pair).distinct(), "join-hub-pairs")
-    links = stage(verified(tried, sets), "join-hub-links")
-    group = components(links, "doc", "doc_b").withColumnRenamed("node", "doc")
+    tried = stage(near.select(*pair).distinct(), "join-hub-pairs", under)
+    links = stage(verified(tried, sets), "join-hub-links", under)
+    group = components(links, "doc", "doc_b", under).withColumnRenamed("node", "doc")
     rows = stage(
         own.join(group, "doc", "left").select("token", "doc", "n", "rank", "centre", F.coalesce("component", "doc").alias("component")),
-        "join-tokens",
+        "join-tokens", under,
     )
     # a shingle counts no more if all its sets are connected; those outside its hub's component meet all others
     tokens = rows.groupBy("token").agg(
@@ -250,7 +250,7 @@ def class_links(sets: DataFrame) -> DataFrame:
         .distinct()
         .join(tried, ["doc", "doc_b"], "left_anti")
     )
-    more = stage(verified(stage(pairs, "join-pairs"), sets), "join-links")
+    more = stage(verified(stage(pairs, "join-pairs", under), sets), "join-links", under)
     return links.unionByName(more)
 
 
@@ -260,13 +260,14 @@ def joined_documents(docs: DataFrame) -> DataFrame:
     The words of a text, with A to Z in lower case, give its distinct 5-word shingles; fewer words are one shingle;
     a null or empty text has none and is linked with nothing. Rows that share an id are one document. A row without
     an id is linked with nothing, and its component is null."""
-    buckets = bucket_count(docs)
-    chunks = stage(chunked(docs), "join-chunks")
+    spark, buckets = docs.sparkSession, bucket_count(docs)
+    work = work_folder(spark, "join")
+    chunks = stage(chunked(docs), "join-chunks", work)
     sets = stage(
         chunks.mapInPandas(_describe, "chunk long, at int, doc_id long, n_shingles long, h1 long, h2 long"), "join-sets"
     )
     usable = sets.filter("n_shingles > 0 and doc_id is not null")
-    classes = stage(usable.groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "chunk", "at")).alias("first")), "join-classes")
+    classes = stage(usable.groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "chunk", "at")).alias("first")), "join-classes", work)
     places = classes.groupBy("first.chunk").agg(F.collect_list("first.at").alias("places"))
     counts = chunks.groupBy("chunk").cogroup(places.groupBy("chunk")).applyInPandas(
         _count(buckets), "bucket int, chunk long, hashes binary, counts binary"
@@ -274,10 +275,11 @@ def joined_documents(docs: DataFrame) -> DataFrame:
     answers = counts.groupBy("bucket").applyInPandas(_shared, "chunk long, bucket int, hashes binary, counts binary")
     answers = answers.unionByName(places, allowMissingColumns=True)
     send, schema = _filter(buckets)
-    filtered = stage(chunks.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInPandas(send, schema), "join-filtered")
-    group = components(class_links(filtered), "doc", "doc_b")
+    filtered = stage(chunks.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInPandas(send, schema), "join-filtered", work)
+    group = components(class_links(filtered, work), "doc", "doc_b", work)
     classes = classes.select("h1", "h2", F.col("first.doc_id").alias("node")).join(group, "node", "left")
-    classes = classes.select("h1", "h2", F.coalesce("component", "node").alias("component"))
+    classes = stage(classes.select("h1", "h2", F.coalesce("component", "node").alias("component")), "join-classes")
+    clear(spark, work)
     return (
         sets.join(classes, ["h1", "h2"], "left")
         .select(
@@ -294,3 +296,31 @@ def one_of_each_group(docs: DataFrame) -> DataFrame:
     found = joined_documents(docs).filter("doc_id = component_id").select("doc_id").distinct()
     named = docs.filter("doc_id is not null").dropDuplicates(["doc_id"]).join(found, "doc_id", "left_semi")
     return named.select(*docs.columns).unionByName(docs.filter("doc_id is null"))
+
+
+SQL = """
+WITH RECURSIVE cut AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS words
+  FROM documents
+), placed AS (
+  SELECT doc_id, words, unnest(generate_series(1, greatest(len(words) - 4, 1))) AS pos FROM cut WHERE len(words) > 0
+), shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(words[pos : pos + 4], ' ') AS shingle FROM placed
+), sizes AS (
+  SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), common AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS shared FROM shingles a JOIN shingles b USING (shingle)
+  WHERE a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id
+), links AS (
+  SELECT x, y FROM common JOIN sizes s ON s.doc_id = x JOIN sizes t ON t.doc_id = y
+  WHERE 100 * shared >= 75 * (s.n + t.n - shared)
+), reach AS (
+  SELECT doc_id AS node, doc_id AS seen FROM sizes
+  UNION SELECT node, y FROM reach JOIN links ON seen = x
+), least AS (
+  SELECT node, min(seen) AS component_id FROM reach GROUP BY node
+)
+SELECT c.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, coalesce(component_id, c.doc_id)::BIGINT AS component_id
+FROM cut c LEFT JOIN sizes s ON c.doc_id = s.doc_id LEFT JOIN least l ON c.doc_id = l.node
+"""
