@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
 from variantloom.llm import graph_search, line_dedup, mixing, ngram_join, packing, quality_neighbours, quality_rules, sharding, substring_dedup, toxicity_kernel
-from variantloom.llm.common import table
+from variantloom.llm.common import importable, table
 
 SHARDS = 24
 
@@ -52,17 +53,30 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.sharded_documents(table(spark, sf_dir, "documents"), SHARDS)
 
 
+def _ready(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    @wraps(query)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        importable(spark)
+        return query(spark, sf_dir)
+
+    return run
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op1_line_dedup": op1_line_dedup,
-    "op2_quality_neighbours": op2_quality_neighbours,
-    "op3_substring_dedup": op3_substring_dedup,
-    "op4_packing": op4_packing,
-    "op5_toxicity": op5_toxicity,
-    "op6_graph_search": op6_graph_search,
-    "op7_mixing": op7_mixing,
-    "op8_quality_rules": op8_quality_rules,
-    "op9_ngram_join": op9_ngram_join,
-    "op10_sharding": op10_sharding,
+    "op1_line_dedup": _ready(op1_line_dedup),
+    "op2_quality_neighbours": _ready(op2_quality_neighbours),
+    "op3_substring_dedup": _ready(op3_substring_dedup),
+    "op4_packing": _ready(op4_packing),
+    "op5_toxicity": _ready(op5_toxicity),
+    "op6_graph_search": _ready(op6_graph_search),
+    "op7_mixing": _ready(op7_mixing),
+    "op8_quality_rules": _ready(op8_quality_rules),
+    "op9_ngram_join": _ready(op9_ngram_join),
+    "op10_sharding": _ready(op10_sharding),
 }
 
-ORACLES: dict[str, str] = {"op1_line_dedup": line_dedup.SQL, "op3_substring_dedup": substring_dedup.SQL}
+ORACLES: dict[str, str] = {
+    "op1_line_dedup": line_dedup.SQL,
+    "op3_substring_dedup": substring_dedup.SQL,
+    "op9_ngram_join": ngram_join.SQL,
+}
