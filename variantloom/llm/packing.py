@@ -30,7 +30,7 @@ END_ID = 2
 #: Parts in which the pieces of one length are ranked.
 RANK_BUCKETS = 256
 #: Words whose ids a task remembers; then it forgets them all.
-REMEMBERED = 300_000
+REMEMBERED = 100_000
 
 
 class _Known(dict):
