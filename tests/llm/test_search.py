@@ -67,3 +67,23 @@ def test_pruning_keeps_diverse_edges():
         assert len(edges) == len(set(edges)) > 2
         for i, a in enumerate(edges):
             assert all(1.2 * far[b, a] > far[node, a] * 0.999 for b in edges[:i])
+
+
+@pytest.mark.parametrize("kind,spread", [("float", 1e-4), ("double", 1e-9)])
+def test_near_copies_are_told_apart(spark, kind, spread):
+    """Groups of hundreds of nearly equal vectors, more than a beam holds, against brute force."""
+    rng = np.random.default_rng(8)
+    centres = rng.normal(size=(6, 16))
+    x = np.concatenate([np.repeat(centres, 250, axis=0) + spread * rng.normal(size=(1500, 16)), rng.normal(size=(300, 16))])
+    x = rng.permutation(x.astype(np.float32) if kind == "float" else x)
+    table = spark.createDataFrame(list(enumerate(x.tolist())), f"vec_id long, embedding array<{kind}>").repartition(3)
+    found = {}
+    for r in graph_search.nearest(table, every=10).collect():
+        found.setdefault(r["query_id"], set()).add(r["vec_id"])
+    assert set(found) == set(range(0, len(x), 10)) and {len(v) for v in found.values()} == {10}
+    hits = 0
+    for q, ids in found.items():
+        far = ((x.astype(float) - x[q].astype(float)) ** 2).sum(axis=1)
+        far[q] = np.inf
+        hits += len(ids & set(np.argsort(far)[:10].tolist()))
+    assert hits / (10 * len(found)) >= 0.97

@@ -2,8 +2,10 @@
 
 A shard's graph starts with random edges. Then every vector is looked up by a greedy search; what the search visited is
 pruned to diverse neighbours (a candidate goes if it is closer to a kept neighbour, by a factor, than to the
-vector itself), and edges back are added and pruned alike. Searches and prunings of many vectors run side by side as
-array operations. Equal vectors are one node. Every query searches every shard and the shards' results are merged."""
+vector itself), and edges back are added and pruned alike. Where many vectors lie close together, all these edges stay
+among them; so every node also has a few random ones, by which a search gets from one such group to another. Searches
+and prunings of many vectors run side by side as array operations; distances are sums of squared differences, which
+keep close vectors apart. Equal vectors are one node. Every query searches every shard and the shards' results are merged."""
 
 from __future__ import annotations
 
@@ -21,6 +23,8 @@ from variantloom.llm.common import stage
 SHARD_VECTORS = 8192
 #: Edges of a node, and of the list that a search keeps while the graph is built.
 DEGREE, BUILD_BEAM = 32, 64
+#: Random edges of a node besides.
+JUMPS = 8
 #: Beam of a query in each shard.
 BEAM = 128
 #: Factors of the two passes by which a kept neighbour must be closer to prune a candidate.
@@ -29,36 +33,38 @@ RELAX = (1.0, 1.2)
 SIDE_BY_SIDE = 256
 #: Distances between candidates that a pruning step holds at most.
 PRUNE_CELLS = 6_000_000
+#: Components of candidates that get exact distances side by side.
+EXACT_CELLS = 4_000_000
 #: Queries that one group of a shard answers: beyond it the shard is loaded more than once.
 GROUP_QUERIES = 16384
 NEIGHBOURS = 10
 
 
-def _distances(x: np.ndarray, norms: np.ndarray, q: np.ndarray, ids: np.ndarray) -> np.ndarray:
+def _distances(x: np.ndarray, q: np.ndarray, ids: np.ndarray) -> np.ndarray:
     """Squared distances of each row of ``q`` from the nodes in its row of ``ids``."""
-    return norms[ids] - 2 * np.einsum("bd,bkd->bk", q, x[ids]) + (q * q).sum(axis=1)[:, None]
+    away = x[ids]
+    away -= q[:, None]
+    return np.einsum("bkd,bkd->bk", away, away)
 
 
 @dataclass
 class Graph:
-    """The vectors of a shard, each node's edges (its own number fills up), and where searches begin."""
+    """The vectors of a shard, each node's edges (its own number fills up), where searches begin, and random edges."""
 
     vectors: np.ndarray
     edges: np.ndarray
     start: int
-
-    def __post_init__(self) -> None:
-        self.norms = (self.vectors * self.vectors).sum(axis=1)
+    jumps: np.ndarray
 
     def search(self, q: np.ndarray, beam: int) -> tuple[np.ndarray, np.ndarray]:
         """For each query, the nearest nodes a greedy search found, with squared distances; -1 and infinity fill up."""
         n, b = len(self.vectors), len(q)
         rows = np.arange(b)
         ids = np.full((b, beam), -1, np.int64)
-        far = np.full((b, beam), np.inf, np.float32)
+        far = np.full((b, beam), np.inf, self.vectors.dtype)
         done = np.ones((b, beam), bool)
         ids[:, 0] = self.start
-        far[:, 0] = _distances(self.vectors, self.norms, q, ids[:, :1])[:, 0]
+        far[:, 0] = _distances(self.vectors, q, ids[:, :1])[:, 0]
         done[:, 0] = False
         seen = np.zeros((b, n), bool)
         seen[:, self.start] = True
@@ -66,10 +72,12 @@ class Graph:
         while len(active):
             at = np.argmax(~done[active], axis=1)  # the list is sorted: the nearest one not yet expanded
             done[active, at] = True
-            near = self.edges[ids[active, at]]
+            near = np.concatenate([self.edges[ids[active, at]], self.jumps[ids[active, at]]], axis=1)
+            near.sort(axis=1)
             new = ~seen[active[:, None], near]
+            new[:, 1:] &= near[:, 1:] != near[:, :-1]  # an edge may be there twice
             seen[active[:, None], near] = True
-            d = np.where(new, _distances(self.vectors, self.norms, q[active], near), np.inf)
+            d = np.where(new, _distances(self.vectors, q[active], near), np.inf)
             all_far = np.concatenate([far[active], d], axis=1)
             order = np.argpartition(all_far, beam - 1, axis=1)[:, :beam]
             order = np.take_along_axis(order, np.argsort(np.take_along_axis(all_far, order, axis=1), axis=1, kind="stable"), axis=1)
@@ -87,14 +95,15 @@ class Graph:
         ids[:, 1:][ids[:, 1:] == ids[:, :-1]] = len(self.vectors)
         empty = ids == len(self.vectors)
         ids[empty] = 0
-        q = self.vectors[nodes]
-        own = np.where(empty, np.inf, np.maximum(_distances(self.vectors, self.norms, q, ids), 0))
+        own = np.where(empty, np.inf, _distances(self.vectors, self.vectors[nodes], ids))
         order = np.argsort(own, axis=1, kind="stable")
         ids, own = np.take_along_axis(ids, order, axis=1), np.take_along_axis(own, order, axis=1)
         width = int((own < np.inf).sum(axis=1).max(initial=0))
         ids, own = ids[:, :width], own[:, :width]
-        x = self.vectors[ids]
-        between = self.norms[ids][:, :, None] + self.norms[ids][:, None, :] - 2 * (x @ x.transpose(0, 2, 1))
+        # seen from the node, which leaves no more error than a small part of a candidate's own distance
+        x = self.vectors[ids] - self.vectors[nodes][:, None]
+        norms = np.einsum("bkd,bkd->bk", x, x)
+        between = norms[:, :, None] + norms[:, None, :] - 2 * (x @ x.transpose(0, 2, 1))
         rows, alive = np.arange(len(nodes)), own < np.inf
         out = np.repeat(nodes[:, None], DEGREE, axis=1)
         for k in range(DEGREE):
@@ -112,7 +121,9 @@ def build(vectors: np.ndarray, seed: int = 3) -> Graph:
     n, rng = len(vectors), np.random.default_rng(seed)
     centre = vectors.mean(axis=0)
     start = int(np.argmin(((vectors - centre) ** 2).sum(axis=1)))
-    graph = Graph(vectors, rng.integers(0, n, (n, DEGREE)), start)
+    # permutations: as many random edges lead to each node as away from it
+    jumps = np.stack([rng.permutation(n) for _ in range(JUMPS)], axis=1)
+    graph = Graph(vectors, rng.integers(0, n, (n, DEGREE)), start, jumps)
     for relax in RELAX:
         order = rng.permutation(n)
         for low in range(0, n, SIDE_BY_SIDE):
@@ -147,35 +158,43 @@ def usable(vector: str) -> Column:
     return F.coalesce(v.isNotNull() & finite & F.exists(v, lambda x: x != 0), F.lit(False))
 
 
+def _precision(kind: str) -> type:
+    """In what a graph keeps vectors of a type: in no less than they come in."""
+    return np.float64 if "double" in kind else np.float32
+
+
 def _packed(vectors: pd.Series, dtype) -> np.ndarray:
     return np.vstack([np.asarray(v, dtype) for v in vectors]) if len(vectors) else np.zeros((0, 0), dtype)
 
 
 def graph_index(nodes: DataFrame) -> DataFrame:
     """The graphs of all shards, from ``shard, node, embedding``: one row per node with its place and its edges (places in
-    the shard). The first place is where searches begin."""
+    the shard; the random ones among them). The first place is where searches begin."""
+    kind = nodes.schema["embedding"].dataType.simpleString()
+    precision = _precision(kind)
 
     def index(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values("node", kind="stable")
-        graph = build(_packed(frame["embedding"], np.float32))
+        graph = build(_packed(frame["embedding"], precision))
         order = np.concatenate([[graph.start], np.delete(np.arange(len(frame)), graph.start)])
         place = np.argsort(order)
-        edges = place[graph.edges[order]].astype(np.int32)
+        edges = place[np.concatenate([graph.edges, graph.jumps], axis=1)[order]].astype(np.int32)
         return pd.DataFrame({
             "shard": frame["shard"].to_numpy(), "node": frame["node"].to_numpy()[order], "place": np.arange(len(frame), dtype=np.int32),
             "embedding": [frame["embedding"].iloc[i] for i in order], "edges": list(edges),
         })
 
-    kind = nodes.schema["embedding"].dataType.simpleString()
     return nodes.groupBy("shard").applyInPandas(index, f"shard int, node long, place int, embedding {kind}, edges array<int>")
 
 
 def search_shards(index: DataFrame, queries: DataFrame, shards: int, groups: int, neighbours: int, beam: int) -> DataFrame:
-    """Every query in every shard: ``query_id, node, score`` of the nearest nodes found, with exact distances.
+    """Every query in every shard: ``query_id, node, score`` of the nearest nodes found, with exact distances. Every node
+    of the beam gets its exact distance before any is dropped.
 
     A shard and a group of queries meet in one partition: first the shard's nodes, which are held, then the queries,
     which stream by in batches."""
     kind = index.schema["embedding"].dataType.simpleString()
+    precision = _precision(kind)
     each = F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("part")
     nodes = index.select("shard", each, F.lit(0).alias("kind"), "place", F.col("node").alias("id"), "embedding", "edges")
     asked = queries.select(
@@ -202,17 +221,21 @@ def search_shards(index: DataFrame, queries: DataFrame, shards: int, groups: int
                 if graph is None:
                     nodes = pd.concat(held)
                     exact, ids = _packed(nodes["embedding"], np.float64), nodes["id"].to_numpy()
-                    graph = Graph(exact.astype(np.float32), _packed(nodes["edges"], np.int64), 0)
+                    graph = Graph(exact.astype(precision), _packed(nodes["edges"], np.int64), 0, np.zeros((len(nodes), 0), np.int64))
                 for low in range(0, len(asked), SIDE_BY_SIDE):
                     part = asked.iloc[low : low + SIDE_BY_SIDE]
                     q = _packed(part["embedding"], np.float64)
                     # one more than asked for: the query's own vector may be among them
-                    found, far = graph.search(q.astype(np.float32), max(beam, neighbours + 1))
-                    found = found[:, : 2 * neighbours + 1]
+                    found, _ = graph.search(q.astype(precision), max(beam, neighbours + 1))
+                    score = np.full(found.shape, np.inf)
+                    some = max(1, EXACT_CELLS // (found.shape[1] * q.shape[1]))
+                    for at in range(0, len(q), some):
+                        score[at : at + some] = _distances(exact, q[at : at + some], found[at : at + some])
+                    score = np.where(found >= 0, np.sqrt(score), np.inf)
+                    order = np.lexsort((ids[found], score), axis=1)[:, : neighbours + 1]
+                    found, score = np.take_along_axis(found, order, axis=1), np.take_along_axis(score, order, axis=1)
                     owner, at = np.nonzero(found >= 0)
-                    node = found[owner, at]
-                    score = np.sqrt(((exact[node] - q[owner]) ** 2).sum(axis=1))
-                    yield pd.DataFrame({"query_id": part["id"].to_numpy()[owner], "node": ids[node], "score": score})
+                    yield pd.DataFrame({"query_id": part["id"].to_numpy()[owner], "node": ids[found[owner, at]], "score": score[owner, at]})
 
     return both.mapInPandas(search, "query_id long, node long, score double")
 
