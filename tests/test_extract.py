@@ -198,6 +198,41 @@ def test_lines_of_one_variant_are_joined(spark, tmp_path):
     assert mutation_etl.read_state(spark, target)["donors"].count() == 2
 
 
+def test_many_lines_of_one_variant(spark):
+    """Joined as a fold over the lines in order would, but no window or task takes all lines of a variant."""
+    import random
+
+    rng = random.Random(4)
+    gts = ["0/0", "0/1", "1/1", "./."]
+    texts = [line(",".join(rng.choices(gts, [9, 1, 1, 1], k=3)), "5,5,5,5,5,5", rng.choice([FIRST, SECOND, THIRD]),
+                  pos=str(pos), qd=str(rng.randrange(99))) for pos in (1, 2, 3, 4, 5, 6, 7, 8) for _ in range(1 if pos > 6 else 12)]
+    texts += texts[:12]  # equal lines
+    rows, _ = parsed(spark, *texts)
+    twice = sheet(spark).withColumns({"specimen": F.when(F.col("idx") > 0, F.lit("SPX")).otherwise(F.col("specimen"))})
+    for samples in (sheet(spark), twice):
+        today = F.lit("2020-03-24").cast("date")
+        lines = mutation_etl.numbered_lines(mutation_etl.line_documents(rows, samples, today)).localCheckpoint()
+        joined = mutation_etl.joined_lines(lines)
+        assert "Window" not in joined._jdf.queryExecution().optimizedPlan().toString()
+        got = {r["uid"]: r.asDict(True) for r in joined.collect()}
+        expected = {}
+        for new in sorted((r.asDict(True) for r in lines.collect()), key=lambda r: r["_line"]["_content"]):
+            new.pop("_line")
+            old = expected.setdefault(new["uid"], new)
+            fresh = [d for d in new["donors"] if d["specimenId"] not in old["specimenList"]]
+            if old is new or not fresh:
+                continue
+            old["donors"] = old["donors"] + fresh
+            old["specimenList"] = [d["specimenId"] for d in old["donors"]]
+            for name, more in new["frequencies"].items():
+                have = old["frequencies"].setdefault(name, more)
+                if have is not more and name not in a.POPULATIONS:
+                    for c in mutation_etl.COUNTS:
+                        have[c] += more[c]
+                    have["AF"] = have["AC"] / have["AN"] if have["AN"] else 0.0
+        assert len(got) == 8 and got == expected
+
+
 def test_half_a_state_is_an_error(spark, tmp_path):
     import pytest
 

@@ -8,7 +8,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from variantloom.functions import annotation as a
 from variantloom.functions.fields import double_or_null, non_empty, set_text
@@ -141,62 +141,80 @@ def with_gene_knowledge(documents: DataFrame, members: DataFrame) -> DataFrame:
     )
 
 
-def _joined_document(stored: Column, new: Column, names: Sequence[str]) -> Column:
-    """A later line of one variant: its donors of new samples are appended; if there is one, its counters are added and
-    its laboratories inserted. Everything else stays as the first line has it."""
-    fresh = F.filter(new["donors"], lambda d: ~F.exists(stored["donors"], lambda o: o["specimenId"].eqNullSafe(d["specimenId"])))
+def numbered_lines(documents: DataFrame, order: Sequence[str] = ()) -> DataFrame:
+    """Adds ``_line``, the place of a line among those of its variant: the order columns, then a digest of the content."""
+    content = F.sha2(F.to_json(F.struct(*[c for c in documents.columns if c not in order])), 256)
+    return documents.withColumn("_line", F.struct(*order, content.alias("_content")))
 
-    def added(old: Column, more: Column) -> Column:
-        count = lambda c: F.coalesce(old[c], F.lit(0).cast("bigint")) + F.coalesce(more[c], F.lit(0).cast("bigint"))
-        af = F.when(count("AN") > 0, count("AC").cast("double") / count("AN")).otherwise(F.lit(0.0))
-        return F.struct(*[count(c).alias(c) for c in ("AC", "AN", "HC", "PN")], af.alias("AF"))
 
-    def both(name: Column, old: Column, more: Column) -> Column:
-        kept = name.isin(*a.POPULATIONS) | more.isNull()
-        return F.when(old.isNull(), more).when(kept, old).otherwise(added(old, more))
-
-    touched = F.size(fresh) > 0
-    frequencies = F.map_zip_with(stored["frequencies"], new["frequencies"], both)
+def joined_lines(documents: DataFrame, order: Sequence[str] = (), staging: str | None = None) -> DataFrame:
+    """One document per variant: lines that share a key are joined by the rule of the batch merge (H1, H2), in the
+    order of ``_line``, which is dropped with the given columns (default: by content). A later line's donors of new
+    samples are appended; if there is one, its counters are added and its laboratories inserted. Everything else stays
+    as the first line has it. No donor is lost.
+
+    Only repeated variants are regrouped; a single line keeps its row. However many lines a variant has, they never
+    meet: every aggregate is reduced before its exchange, and what it leaves of a variant (a donor per sample column, a
+    counter per laboratory) is no more than one line holds. ``documents`` is read several times: stage it."""
+    names = [c for c in documents.columns if c not in (*order, "_line")]
+    # joined by a value computed from the key: rows are then not taken as dealt by the key, so that a variant with
+    # very many lines is split in the join and reduced in each part before the aggregate deals it
+    repeated = documents.groupBy("uid").count().where("count > 1").select(F.reverse("uid").alias("_key"))
+    keyed = documents.withColumn("_key", F.reverse("uid"))
+    lines = keyed.join(repeated, "_key", "left_semi").drop("_key")
+    single = keyed.join(repeated, "_key", "left_anti").select(*names)
+
+    first = lines.groupBy("uid").agg(
+        F.min_by(F.struct(*[n for n in names if n != "uid"]), "_line").alias("_first"), F.min("_line").alias("_line"))
+
+    # each sample's donors of the first line that has the sample
+    each = lines.select("uid", "_line", F.posexplode("donors").alias("_pos", "_donor"))
+    each = each.groupBy("uid", F.col("_donor.specimenId").alias("_specimen"), F.col("_donor.idx").alias("_idx")).agg(
+        F.min(F.struct("_line", "_pos", "_donor")).alias("_d"))
+    each = each.groupBy("uid", "_specimen").agg(F.collect_list("_d").alias("_all"), F.min("_d._line").alias("_least"))
+    brought = each.select("uid", F.filter("_all", lambda d: d["_line"].eqNullSafe(F.col("_least"))).alias("_new"), "_least")
+    donors_of = brought.groupBy("uid").agg(F.array_sort(F.flatten(F.collect_list("_new"))).alias("_donors"))
+
+    # counters of the first line and of those that bring a sample; equal lines are one
+    counted = first.select("uid", "_line").unionByName(brought.select("uid", F.col("_least").alias("_line"))).distinct()
+    entries = lines.select("uid", "_line", F.explode("frequencies").alias("_name", "_f")).where(F.col("_f").isNotNull())
+    entries = entries.groupBy("uid", "_line", "_name").agg(F.min("_f").alias("_f")).join(counted, ["uid", "_line"], "left_semi")
+    summed = entries.groupBy("uid", "_name").agg(
+        F.count(F.lit(1)).alias("_n"), F.min(F.struct("_line", "_f"))["_f"].alias("_kept"),
+        *[F.coalesce(F.sum(f"_f.{c}"), F.lit(0).cast("bigint")).alias(c) for c in COUNTS])
+    af = F.when(F.col("AN") > 0, F.col("AC").cast("double") / F.col("AN")).otherwise(F.lit(0.0))
+    kept = F.col("_name").isin(*a.POPULATIONS) | (F.col("_n") == 1)
+    entry = F.when(kept, F.col("_kept")).otherwise(F.struct(*COUNTS, af.alias("AF")))
+    frequencies_of = summed.groupBy("uid").agg(
+        F.map_from_entries(F.collect_list(F.struct("_name", entry.alias("_f")))).alias("_frequencies"))
+
+    donors_now = F.coalesce(F.transform("_donors", lambda d: d["_donor"]), F.col("_first.donors"))
     changed = {
-        "donors": F.concat(stored["donors"], fresh),
-        "frequencies": F.when(touched, frequencies).otherwise(stored["frequencies"]),
-        "specimenList": F.transform(F.concat(stored["donors"], fresh), lambda d: d["specimenId"]),
+        "uid": F.col("uid"), "donors": donors_now, "specimenList": F.transform(donors_now, lambda d: d["specimenId"]),
+        "frequencies": F.coalesce("_frequencies", "_first.frequencies"),
     }
-    return F.struct(*[changed.get(n, stored[n]).alias(n) for n in names])
-
-
-def joined_lines(documents: DataFrame, order: Sequence[str] = ()) -> DataFrame:
-    """One document per variant: lines that share a key are joined by the rule of the batch merge (H1, H2), in the
-    order of the given columns, which are dropped (default: by content). No donor is lost.
-
-    Only repeated variants are regrouped; a single line keeps its row. ``documents`` is read twice: stage it."""
-    names = [c for c in documents.columns if c not in order]
-    again = documents.groupBy("uid").count().where("count > 1").select("uid")
-    place = list(order) or [F.to_json(F.struct("donors", "frequencies", "consequences"))]
-    # documents hold maps, which cannot be sorted: lines are numbered and looked up by number
-    at = F.row_number().over(Window.partitionBy("uid").orderBy(*place))
-    lines = documents.join(again, "uid", "left_semi").withColumn("_at", at)
-    lines = lines.groupBy("uid").agg(F.map_from_entries(F.collect_list(F.struct("_at", F.struct(*names)))).alias("_lines"))
-    numbers = F.sequence(F.lit(1), F.size("_lines"))
-    ordered = lines.select(F.transform(numbers, lambda i: F.try_element_at("_lines", i)).alias("_lines"))
-    rest = F.slice("_lines", F.lit(2), F.size("_lines") - 1)
-    merged = F.aggregate(rest, F.get("_lines", F.lit(0)), lambda stored, new: _joined_document(stored, new, names))
-    return documents.join(again, "uid", "left_anti").select(*names).unionByName(
-        ordered.select(merged.alias("d")).select("d.*")
-    )
+    joined = first.join(donors_of, "uid", "left").join(frequencies_of, "uid", "left").select(
+        *[changed.get(n, F.col(f"_first.{n}")).alias(n) for n in names])
+    if staging:
+        write_table(joined, staging)
+        joined = documents.sparkSession.read.parquet(staging)
+    return single.unionByName(joined)
 
 
 def mutation_documents(rows: DataFrame, cohort: DataFrame, members: DataFrame, updated: Column,
                        build: str = "GRCh38", tool: str | None = None, order: Sequence[str] = ()) -> DataFrame:
-    return with_gene_knowledge(joined_lines(line_documents(rows, cohort, updated, build, tool, order), order), members)
+    """Staged in a folder of its own: the joins read the lines several times."""
+    staging = f"{checkpoint_dir(rows.sparkSession)}/documents-{uuid.uuid4().hex}"
+    return staged_documents(rows, cohort, members, updated, staging, build, tool, order)
 
 
 def staged_documents(rows: DataFrame, cohort: DataFrame, members: DataFrame, updated: Column, staging: str,
                      build: str = "GRCh38", tool: str | None = None, order: Sequence[str] = ()) -> DataFrame:
     """The same documents with the line pass written to ``staging`` once. Annotation text stays in that narrow pass: it
     is in no exchange and no sort. Repeated keys and genes are resolved on the staged rows."""
-    write_table(line_documents(rows, cohort, updated, build, tool, order), f"{staging}/lines")
-    return with_gene_knowledge(joined_lines(rows.sparkSession.read.parquet(f"{staging}/lines"), order), members)
+    write_table(numbered_lines(line_documents(rows, cohort, updated, build, tool, order), order), f"{staging}/lines")
+    lines = rows.sparkSession.read.parquet(f"{staging}/lines")
+    return with_gene_knowledge(joined_lines(lines, order, f"{staging}/joined"), members)
 
 
 # ---- flat state ---------------------------------------------------------------------------------
