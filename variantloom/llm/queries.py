@@ -7,7 +7,10 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from variantloom.llm import graph_search, line_dedup, mixing, ngram_join, packing, quality_neighbours, quality_rules, sharding, substring_dedup, toxicity_kernel
+from variantloom.llm import (
+    byte_bpe, centroid_clustering, graph_search, line_dedup, mixing, ngram_join, packing, periodic_runs, quality_neighbours,
+    quality_rules, sharding, substring_dedup, toxicity_kernel,
+)
 from variantloom.llm.common import importable, table
 
 SHARDS = 24
@@ -53,6 +56,18 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.sharded_documents(table(spark, sf_dir, "documents"), SHARDS)
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.digest(table(spark, sf_dir, "documents"))
+
+
+def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_bpe.digest(table(spark, sf_dir, "documents"))
+
+
+def op13_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroid_clustering.digest(table(spark, sf_dir, "embeddings"))
+
+
 def _ready(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     @wraps(query)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -73,10 +88,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": _ready(op8_quality_rules),
     "op9_ngram_join": _ready(op9_ngram_join),
     "op10_sharding": _ready(op10_sharding),
+    "op11_periodic_runs": _ready(op11_periodic_runs),
+    "op12_byte_bpe": _ready(op12_byte_bpe),
+    "op13_centroid_clustering": _ready(op13_centroid_clustering),
 }
 
 ORACLES: dict[str, str] = {
     "op1_line_dedup": line_dedup.SQL,
     "op3_substring_dedup": substring_dedup.SQL,
     "op9_ngram_join": ngram_join.SQL,
+    "op11_periodic_runs": periodic_runs.SQL,
+    "op13_centroid_clustering": centroid_clustering.SQL,
 }
