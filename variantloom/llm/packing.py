@@ -30,8 +30,8 @@ from variantloom.llm.common import clear, running_total, stage, steps, work_fold
 SEQUENCE_TOKENS = 1024
 #: The id that ends every document.
 END_ID = 2
-#: Pieces that are ranked together: the more there are, the more parts.
-RANK_ROWS = 200_000
+#: The pieces of a length are ranked in this many parts, and in more if a part would hold more than ``RANK_ROWS``.
+RANK_PARTS, RANK_ROWS = 256, 100_000
 #: Runs of a range of sizes, about.
 RANGE_RUNS = 512
 #: Of the sequences that the pieces without a gap would fill, the share that a round opens.
@@ -212,11 +212,12 @@ def next_round(runs: DataFrame, cuts: list[int], opened: int, tokens: int) -> Da
     runs = runs.withColumn("_range", range_of(F.col("size")))
     # the smallest gap that fits: the last one in falling order of sizes, gaps before pieces of the same size
     inside = Window.partitionBy("_range").orderBy(F.col("size").desc(), F.col("kind"))
-    above = Window.orderBy(F.col("_range").desc()).rowsBetween(Window.unboundedPreceding, -1)
-    carried = runs.groupBy("_range").agg(F.min(space).alias("_least"))
-    carried = carried.select("_range", F.last("_least", ignorenulls=True).over(above).alias("_carried"))  # one row a range
-    found = runs.withColumn("_inside", F.last(space, ignorenulls=True).over(inside)).join(carried, "_range")
-    fits = F.coalesce("_inside", "_carried")
+    found, fits = runs.withColumn("_inside", F.last(space, ignorenulls=True).over(inside)), F.col("_inside")
+    if cuts:
+        above = Window.orderBy(F.col("_range").desc()).rowsBetween(Window.unboundedPreceding, -1)
+        carried = runs.groupBy("_range").agg(F.min(space).alias("_least"))
+        carried = carried.select("_range", F.last("_least", ignorenulls=True).over(above).alias("_carried"))  # one row a range
+        found, fits = found.join(carried, "_range"), F.coalesce("_inside", "_carried")
     found = found.withColumn("_to", F.when(fits.isNull(), F.lit(-1)).otherwise(range_of(fits)))
 
     def swept(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
@@ -263,7 +264,7 @@ def pack(pieces: DataFrame, tokens: int = SEQUENCE_TOKENS) -> DataFrame:
     places = stage(placed_runs(lengths, tokens, folder).select(
         F.col("size").alias("_length"), F.col("first").alias("_rank"), (F.col("first") + F.col("n")).alias("_end"),
         F.col("sequence").alias("_sequence"), F.col("each").alias("_each"), F.col("offset").alias("_offset")), "places")
-    parts = 1 + (lengths.agg(F.sum("n")).first()[0] or 0) // RANK_ROWS
+    parts = max(RANK_PARTS, (lengths.agg(F.max("n")).first()[0] or 0) // RANK_ROWS)
     clear(spark, folder)
     ranked = running_total(pieces, ["length"], F.lit(1), ["doc_id", "piece", "ids_crc32"], "_at", parts)
     here = (F.col("length") == F.col("_length")) & (F.col("_at") >= F.col("_rank")) & (F.col("_at") < F.col("_end"))
