@@ -1,4 +1,4 @@
-"""Skew-safe building blocks: chunked running totals, paged nesting, last-wins by key."""
+"""Skew-safe building blocks: chunked running totals, ranks, paged nesting, one row per key."""
 
 from __future__ import annotations
 
@@ -72,6 +72,44 @@ def nest(
     )
 
 
+def member_rank(df: DataFrame, keys: Sequence[str], member: str, out: str) -> DataFrame:
+    """Adds ``out``: a dense rank from 0 of a text member among those of its key, in order of their md5.
+
+    Members of a key are distinct. They are dealt into up to 65536 ranges of their md5: counts per range (partial
+    aggregation) are added up in front of it, and only the members of one range are ordered in one task, so a key that
+    holds most rows is spread."""
+    keys = list(keys)
+    dealt = df.withColumn("_md5", F.md5(F.col(member).cast("binary"))).withColumn("_range", F.substring("_md5", 1, 4))
+    before = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    totals = dealt.groupBy(*keys, "_range").agg(F.count(F.lit(1)).alias("_n"))
+    totals = totals.withColumn("_earlier", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
+    inside = Window.partitionBy(*keys, "_range").orderBy("_md5", member)
+    ranked = dealt.withColumn("_inside", F.row_number().over(inside) - 1)
+    return ranked.join(totals, [*keys, "_range"]).withColumn(out, (F.col("_earlier") + F.col("_inside")).cast("bigint")).drop(
+        "_md5", "_range", "_inside", "_earlier")
+
+
+def nest_members(
+    df: DataFrame, keys: Sequence[str], member: str, fields: Sequence[str | Column], out: str, page_size: int = PAGE_SIZE,
+) -> DataFrame:
+    """As ``nest`` for a text member: pages of ``page_size`` members in order of their md5, sorted inside by member."""
+    struct = F.struct(F.col(member), *[F.col(f) if isinstance(f, str) else f for f in fields])
+    return (
+        member_rank(df, keys, member, "_rank").groupBy(*keys, page_of(F.col("_rank"), page_size).alias("page"))
+        .agg(F.array_sort(F.collect_list(struct)).alias(out))
+    )
+
+
+def first_by_content(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row per key: of several the least by its other columns, whatever the partitions. Maps have no order; rows
+    that differ in nothing else are told apart by their JSON text."""
+    others = [f for f in df.schema.fields if f.name not in keys]
+    order = [F.col(f.name) for f in others if "map<" not in f.dataType.simpleString()]
+    if len(order) < len(others):
+        order.append(F.to_json(F.struct(*[f.name for f in others])))
+    return last_by_key(df, keys, order or [F.lit(0)])
+
+
 def last_by_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """The one row per key that is last in ``order``.
 

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from variantloom.operators.frequency import COUNTERS, allele_frequency, cohort_frequency
-from variantloom.operators.grouping import last_by_key
+from variantloom.operators.grouping import first_by_content, last_by_key
 
 
 def _keys(key: str | Sequence[str]) -> list[str]:
@@ -19,9 +19,9 @@ def _keys(key: str | Sequence[str]) -> list[str]:
 
 
 def new_members(state: DataFrame, batch: DataFrame, key: str | Sequence[str], specimen: str) -> DataFrame:
-    """Batch donors whose sample is not stored yet at that variant."""
+    """Batch donors whose sample is not stored yet at that variant; of repeated ones the first by content."""
     on = [*_keys(key), specimen]
-    return batch.dropDuplicates(on).join(state.select(*on), on, "left_anti")
+    return first_by_content(batch.join(state.select(*on), on, "left_anti"), on)
 
 
 def merge_donors(state: DataFrame, batch: DataFrame, key: str | Sequence[str], specimen: str) -> DataFrame:
@@ -67,8 +67,8 @@ def merge_counters(state: DataFrame, batch: DataFrame, touched: DataFrame, key:
 def merge_calls_exactly(state: DataFrame, batch: DataFrame, key: str, specimen: str, gt: str = "gt") -> DataFrame:
     """Exact alternative to counter addition: a sample is counted once whatever the batches repeat."""
     on = [key, specimen]
-    fresh = batch.dropDuplicates(on).join(state.select(*on), on, "left_anti")
     columns = [*on, gt]
+    fresh = first_by_content(batch.select(*columns).join(state.select(*on), on, "left_anti"), on)
     return cohort_frequency(state.select(*columns).unionByName(fresh.select(*columns)), [key], gt)
 
 

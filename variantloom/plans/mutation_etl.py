@@ -51,12 +51,25 @@ def _population_entries(populations: Column) -> Column:
     return F.map_from_entries(F.filter(entries, lambda e: e["value"].isNotNull()))
 
 
+#: Names in a document's frequencies that are no laboratory's.
+RESERVED = ("interne", *a.POPULATIONS)
+#: A laboratory of such a name, or of one that begins like this, stands under its name behind this.
+_OWN = "lab:"
+
+
+def lab_key(lab: Column) -> Column:
+    """A laboratory's name among the frequencies: never that of the cohort or of a population."""
+    return F.when(lab.isin(*RESERVED) | lab.startswith(_OWN), F.concat(F.lit(_OWN), lab)).otherwise(lab)
+
+
+def lab_name(key: Column) -> Column:
+    return F.regexp_replace(key, f"^{_OWN}", "")
+
+
 def _frequencies(calls: Column, sheet: Column, labs: Column, populations: Column) -> Column:
-    """Populations, then the cohort, then the laboratories; a later entry of the same name wins."""
+    """Populations, the cohort and the laboratories."""
     cohort = F.create_map(F.lit("interne"), line_frequency(F.transform(sheet, lambda s: F.get(calls, s["idx"]))))
-    by_lab = line_lab_frequencies(calls, labs)
-    named = F.map_concat(_population_entries(populations), cohort)
-    return F.map_concat(F.map_filter(named, lambda k, _: ~F.map_contains_key(by_lab, k)), by_lab)
+    return F.map_concat(_population_entries(populations), cohort, line_lab_frequencies(calls, labs))
 
 
 def line_documents(rows: DataFrame, cohort: DataFrame, updated: Column, build: str = "GRCh38",
@@ -64,7 +77,7 @@ def line_documents(rows: DataFrame, cohort: DataFrame, updated: Column, build: s
     """Keyed extract rows + sample sheet -> one nested document per line, without gene knowledge.
 
     ``carry`` names columns of the rows that go along, for ordering lines of one variant."""
-    sheet, labs = sample_sheet(cohort), lab_members(cohort)
+    sheet, labs = sample_sheet(cohort), lab_members(cohort.withColumn("lab", lab_key(F.col("lab"))))
     keyed = [c for c in rows.columns if c not in ("chrom", "gt", "ad", "gq", "csq", "dp", "mq", "qd", "filter")]
     parsed = with_annotations(with_calls(rows))
     # sheet and laboratories become columns once; expressions below refer to them
@@ -223,8 +236,9 @@ def flat_state(documents: DataFrame) -> dict[str, DataFrame]:
     """Documents -> the flat tables the merges work on."""
     frequency = lambda f: [F.col(f"{f}.{c}").alias(c.lower()) for c in (*COUNTS, "AF")]
     labs = documents.select("uid", F.explode("frequencies").alias("lab", "f")).where(
-        ~F.col("lab").isin("interne", *a.POPULATIONS))
-    genes = documents.select("mutationId", F.inline("genes"))
+        ~F.col("lab").isin(*RESERVED)).withColumn("lab", lab_name(F.col("lab")))
+    genes = documents.select("mutationId", F.inline("genes")).where(F.trim("ensemblId") != "")
+    about = [f.name for f in documents.schema["genes"].dataType.elementType if f.name not in ("ensemblId", "alias")]
     aliases = documents.select(F.inline("newAliases"))
     return {
         "variants": documents.withColumn(
@@ -236,30 +250,42 @@ def flat_state(documents: DataFrame) -> dict[str, DataFrame]:
         "gene_variants": genes.select(F.col("ensemblId").alias("ensembl_id"), F.col("mutationId").alias("mutation_id"))
         .distinct(),
         "gene_aliases": aliases.select(F.col("ensemblId").alias("ensembl_id"), "alias").distinct(),
+        "genes": genes.groupBy(F.col("ensemblId").alias("ensembl_id")).agg(F.min(F.struct(*about)).alias("_gene")).select(
+            "ensembl_id", "_gene.*"),
     }
 
 
-def merge_state(state: dict[str, DataFrame], batch: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """Upsert of one batch into the flat state (H1-H3)."""
-    touched = m.touched_keys(state["donors"], batch["donors"], "uid", "specimenId")
-    fresh = batch["variants"].join(state["variants"].select("uid"), "uid", "left_anti")
+def merge_state(state: dict[str, DataFrame], batch: dict[str, DataFrame], fresh: DataFrame | None = None) -> dict[str, DataFrame]:
+    """Upsert of one batch into the flat state (H1-H3). ``fresh`` are the batch's donors that are not stored, if they
+    have been computed before; several tables need them."""
+    if fresh is None:
+        fresh = m.new_members(state["donors"], batch["donors"], "uid", "specimenId")
+    touched = fresh.select("uid").distinct()
+    absent = lambda name, key: state[name].unionByName(batch[name].join(state[name].select(key), key, "left_anti"))
     return {
-        "variants": state["variants"].unionByName(fresh),
+        "variants": absent("variants", "uid"),
         "cohort": m.merge_counters(state["cohort"], batch["cohort"], touched, "uid"),
         "labs": m.merge_counters(state["labs"], batch["labs"], touched, "uid", ["lab"]),
-        "donors": m.merge_donors(state["donors"], batch["donors"], "uid", "specimenId"),
+        "donors": state["donors"].unionByName(fresh),
         "gene_variants": m.merge_members(state["gene_variants"], batch["gene_variants"], "ensembl_id", "mutation_id"),
         "gene_aliases": m.merge_members(state["gene_aliases"], batch["gene_aliases"], "ensembl_id", "alias"),
+        "genes": absent("genes", "ensembl_id"),
     }
 
 
+#: Tables of the state and the key that each is found by.
+TABLES = {
+    "variants": "uid", "cohort": "uid", "labs": "uid", "donors": "uid", "gene_variants": "ensembl_id",
+    "gene_aliases": "ensembl_id", "genes": "ensembl_id",
+}
+
+
 def read_state(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     """The tables of a state that was written to its end; half a state is an error."""
-    names = ("variants", "cohort", "labs", "donors", "gene_variants", "gene_aliases")
     written = {r["name"] for r in spark.read.schema("name string").parquet(f"{folder}/{COMPLETE}").collect()}
-    if not written.issuperset(names):
-        raise ValueError(f"{folder} lacks {sorted(set(names) - written)}")
-    return {name: spark.read.parquet(f"{folder}/{name}") for name in names}
+    if not written.issuperset(TABLES):
+        raise ValueError(f"{folder} lacks {sorted(set(TABLES) - written)}")
+    return {name: spark.read.parquet(f"{folder}/{name}") for name in TABLES}
 
 
 def run(rows: DataFrame, cohort: DataFrame, members: DataFrame, updated: Column, target: str,

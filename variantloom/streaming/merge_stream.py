@@ -13,6 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 from variantloom.functions.genotype import is_carrier
 from variantloom.operators import merge as m
 from variantloom.operators.frequency import cohort_frequency
+from variantloom.operators.grouping import first_by_content
 from variantloom.sources.sinks import write_merged
 
 
@@ -25,7 +26,7 @@ def merge_calls_batch(root: str, key: str = "site_id", specimen: str = "specimen
     """The ``foreachBatch`` function: counters and donors of one batch of calls into the state at ``root``."""
 
     def merge(batch: DataFrame, number: int) -> None:
-        calls = batch.dropDuplicates([key, specimen])
+        calls = first_by_content(batch, [key, specimen])
         counters = cohort_frequency(calls, [key], gt)
         donors = calls.where(is_carrier(F.col(gt))).select(key, specimen, gt)
         tables = {"cohort": counters, "donors": donors}
