@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from variantloom.functions.genotype import is_affected
-from variantloom.operators.grouping import last_by_key, running_total_before
+from variantloom.operators.grouping import first_by_content, last_by_key
 
 
 def hpo_terms(impressions: Column) -> Column:
@@ -160,14 +160,6 @@ def donor_phenotypes(terms: Column, phenotype: Column, affected: Column, matches
     return F.when(affected & (matches > 0), extended)
 
 
-def split_by_counts(rows: DataFrame, owner: Sequence[str], pos: str, counts: str, items: str, out: str) -> DataFrame:
-    """Variable-length slices of one shared list: row i takes ``counts`` items behind those of earlier rows."""
-    offset = running_total_before(rows, owner, pos, F.col(counts), "_offset")
-    return offset.withColumn(
-        out, F.slice(F.col(items), (F.col("_offset") + 1).cast("int"), F.col(counts).cast("int"))
-    ).drop("_offset")
-
-
 def patients_from_lists(lists: DataFrame, owner: str, columns: Sequence[str], hpo_counts: str, hpo: str,
                         link_counts: str, link_patients: str, link_specimens: str) -> DataFrame:
     """Cohort given as parallel comma lists, one row per owner -> one row per sample.
@@ -196,3 +188,60 @@ def document_by_id(documents: DataFrame, wanted: DataFrame, key: str = "id") ->
 def first_hit(hits: DataFrame, query: str, order: Sequence[Column]) -> DataFrame:
     """First hit per query."""
     return last_by_key(hits, [query], order)
+
+
+def composed_sheet(samples: DataFrame, pedigree: DataFrame, documents: DataFrame | None = None,
+                   properties: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """(the sample sheet, the rejected samples) for the sample columns of an extract: ``idx, specimen``.
+
+    A sample's patient is the document whose service requests list it, or else its row of the properties. What the
+    document leaves open is looked for further on: assessor and organisation in the request's impression, then in the general
+    practitioner's role; the relation in the document, in the links of its proband, in the properties, and in
+    the pedigree, where another member names it as a parent. The family, sex and phenotype come from the pedigree.
+
+    Nothing is dropped without a word: ``rejects`` has ``idx, specimen, reason`` of samples that are listed again,
+    have no patient, or have no pedigree row. The others keep their column index. Of several pedigree rows or
+    properties of one sample the first by content counts."""
+    key = lambda column: F.lower(F.trim(column))
+    columns = samples.select("idx", "specimen").withColumn("_id", key("specimen"))
+    first = columns.groupBy("_id").agg(F.min("idx").alias("_first"))
+    columns = columns.join(first, "_id").withColumn("_again", F.col("idx") > F.col("_first")).drop("_first")
+
+    ped = first_by_content(pedigree.withColumn("_id", key("id")), ["_id"])
+    named = ped.select(F.explode(F.array(
+        F.struct(key("paternal_id").alias("_id"), F.lit("FTH").alias("_parent")),
+        F.struct(key("maternal_id").alias("_id"), F.lit("MTH").alias("_parent")))).alias("p")).select("p.*")
+    parents = named.groupBy("_id").agg(F.min("_parent").alias("_parent"))
+    facts = ped.select("_id", "family_id", "sex", "phenotype", F.lit(True).alias("_pedigree")).join(parents, "_id", "left")
+
+    text = lambda name: F.lit(None).cast("string").alias(name)
+    fields = ("patient_id", "study_id", "practitioner_id", "organization_id", "strategy", "lab")
+    people = None
+    if documents is not None:
+        attributes = patient_attributes(documents_of_samples(documents, columns))
+        attributes = with_relations(attributes, linked_relatives(documents))
+        people = attributes.select(
+            key("specimen").alias("_id"), *[F.coalesce("lab", "lab_name").alias(f) if f == "lab" else F.col(f) for f in fields],
+            "relation", F.col("hpo_terms").alias("phenotypes"), F.lit("document").alias("origin"))
+        people = first_by_content(people, ["_id"])
+    if properties is not None:
+        given = first_by_content(properties.select(
+            key("specimen").alias("_id"), F.col("patientId").alias("patient_id"), F.col("studyId").alias("study_id"),
+            F.col("practitionerId").alias("practitioner_id"), F.col("organizationId").alias("organization_id"),
+            (F.col("sequencingStrategy") if "sequencingStrategy" in properties.columns else text("s")).alias("strategy"),
+            F.col("laboName").alias("lab"), "relation", F.col("hpo_terms").alias("phenotypes"), F.lit("properties").alias("origin")), ["_id"])
+        people = given if people is None else people.unionByName(given.join(people, "_id", "left_anti"))
+        relations = given.select("_id", F.col("relation").alias("_listed"))
+    else:
+        relations = columns.limit(0).select("_id", text("_listed"))
+    if people is None:
+        raise ValueError("patients come from documents, properties or both")
+
+    joined = columns.join(facts, "_id", "left").join(people, "_id", "left").join(relations, "_id", "left")
+    reason = F.when(F.col("_again"), "listed again").when(F.col("origin").isNull(), "no patient").when(
+        F.col("_pedigree").isNull(), "no pedigree")
+    joined = joined.withColumn("reason", reason)
+    sheet = joined.where(F.col("reason").isNull()).select(
+        "idx", "specimen", "family_id", F.coalesce("relation", "_listed", "_parent").alias("relation"), "sex", "phenotype",
+        *fields, "phenotypes", "origin")
+    return sheet, joined.where(F.col("reason").isNotNull()).select("idx", "specimen", "reason")

@@ -32,7 +32,7 @@ def query(name: str, sql: str | None, *views: str):
 
 def _load() -> None:
     from variantloom.plans import (  # noqa: F401
-        queries_annotations, queries_calls, queries_clinical, queries_extract, queries_merge, queries_state,
+        queries_annotations, queries_calls, queries_clinical, queries_extract, queries_cohort, queries_merge, queries_state,
     )
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from variantloom.functions.keys import clean_alt, contig, dna_change, is_primary_contig, mutation_id, variant_uid
 
@@ -17,12 +17,20 @@ COLUMN_NAMES = {
 LISTS = ("gt", "ad", "gq")
 
 
-def read_lines(spark: SparkSession, path: str, partitions: int | None = None) -> DataFrame:
-    """Text lines; splits follow ``spark.sql.files.maxPartitionBytes`` unless a number is asked for."""
+def read_lines(spark: SparkSession, path: str, partitions: int | None = None, with_file: bool = False) -> DataFrame:
+    """Text lines; splits follow ``spark.sql.files.maxPartitionBytes`` unless a number is asked for. ``with_file`` adds
+    ``_file``, the file that a line comes from."""
     lines = spark.read.text(path)
+    if with_file:
+        lines = lines.select("value", _plain_path(F.col("_metadata.file_path")).alias("_file"))
     return lines.repartition(partitions) if partitions else lines
 
 
+def _plain_path(path: Column) -> Column:
+    """A file's path in one spelling: readers write a local one with one or with three slashes."""
+    return F.regexp_replace(path, "^([A-Za-z0-9]+):/+", "$1:/")
+
+
 def is_header(value) -> F.Column:
     return F.upper(F.substring_index(value, "\t", 1)).isin("CHROM", "#CHROM")
 
@@ -48,21 +56,28 @@ def sample_list(header_rows: DataFrame, value: str = "value") -> DataFrame:
         *others, "idx", F.when(name.startswith("SP"), name).otherwise(F.concat(F.lit("SP"), name)).alias("specimen"))
 
 
-def parse_lines(lines: DataFrame, columns: Sequence[str], value: str = "value", primary_only: bool = True
-                ) -> DataFrame:
-    """Typed extract rows. Header rows and, first of all, minor contigs are dropped before a line is split."""
+def parse_lines(lines: DataFrame, columns: Sequence[str] | None = None, value: str = "value", primary_only: bool = True,
+                places: str | None = None) -> DataFrame:
+    """Typed extract rows. Header rows and, first of all, minor contigs are dropped before a line is split.
+
+    ``columns`` are the header's names for all lines; or ``places`` is a column with the line's own struct of cell numbers."""
     first = F.substring_index(F.col(value), "\t", 1)
     kept = lines.where(~is_header(F.col(value)))
     if primary_only:
         kept = kept.where(is_primary_contig(first))
-    at = {name: i for i, name in enumerate(columns)}
-    others = [c for c in lines.columns if c != value]
-    cells = kept.select(*others, F.split(F.col(value), "\t").alias("_cells"))
-    cell = lambda source: F.get("_cells", F.lit(at[source])) if source in at else F.lit(None).cast("string")
+    at = {name: i for i, name in enumerate(columns or ())}
+    others = [c for c in lines.columns if c not in (value, places)]
+    cells = kept.select(*others, *([places] if places else []), F.split(F.col(value), "\t").alias("_cells"))
+
+    def cell(source: str, name: str) -> Column:
+        if places:
+            return F.get("_cells", F.col(places)[name])
+        return F.get("_cells", F.lit(at[source])) if source in at else F.lit(None).cast("string")
+
     typed = cells.select(
         *others,
         *[
-            (F.split(cell(source), ",") if name in LISTS else cell(source)).alias(name)
+            (F.split(cell(source, name), ",") if name in LISTS else cell(source, name)).alias(name)
             for source, name in COLUMN_NAMES.items()
         ],
     )
@@ -78,6 +93,47 @@ def with_keys(rows: DataFrame, build: str) -> DataFrame:
         "mutation_id", key).withColumn("uid", variant_uid(F.col("mutation_id"), build))
 
 
-def read_extract(spark: SparkSession, path: str, build: str = "GRCh38", partitions: int | None = None) -> DataFrame:
-    lines = read_lines(spark, path, partitions)
-    return with_keys(parse_lines(lines, header_columns(lines)), build)
+#: Header rows of all files together, in bytes, up to which they are broadcast to the lines.
+BROADCAST_BYTES = 32_000_000
+
+
+def file_headers(spark: SparkSession, path: str) -> dict[str, list[str]]:
+    """The header of each file. It stands in front, so one short task a file reads it, not a pass over all lines."""
+    files = sorted(spark.read.text(path).inputFiles())
+    return {file: header_columns(spark.read.text(file)) for file in files}
+
+
+def with_places(lines: DataFrame, headers: dict[str, list[str]], file: str = "_file") -> DataFrame:
+    """Adds ``_places``: where in a line of its file each column stands (null: the file has no such column)."""
+    numbers = [(name, *(columns.index(c) if c in columns else None for c in COLUMN_NAMES)) for name, columns in headers.items()]
+    names = list(COLUMN_NAMES.values())
+    schema = "_name string, " + ", ".join(f"{n} int" for n in names)
+    table = lines.sparkSession.createDataFrame(numbers, schema).select(_plain_path(F.col("_name")).alias(file), F.struct(*names).alias("_places"))
+    small = sum(len(name) + 4 * len(names) for name in headers) <= BROADCAST_BYTES
+    return lines.join(F.broadcast(table) if small else table, file).drop(file)
+
+
+def read_extract(spark: SparkSession, path: str, build: str = "GRCh38", partitions: int | None = None,
+                 primary_only: bool = True) -> DataFrame:
+    """Keyed rows of one or many extract files. Each file's lines are bound by its own header."""
+    headers = file_headers(spark, path)
+    lines = read_lines(spark, path, partitions, with_file=len({tuple(h) for h in headers.values()}) > 1)
+    if "_file" in lines.columns:
+        rows = parse_lines(with_places(lines, headers), primary_only=primary_only, places="_places")
+    else:
+        rows = parse_lines(lines, next(iter(headers.values())), primary_only=primary_only)
+    return with_keys(rows, build)
+
+
+def read_samples(spark: SparkSession, path: str) -> DataFrame:
+    """(idx, specimen) of the sample columns, from the sample header rows in front of the files, which must agree."""
+    found = {}
+    for file in sorted(spark.read.text(path).inputFiles()):
+        row = spark.read.text(file).where(F.upper(F.col("value")).rlike("^#CHROM\t(.*\t)?FORMAT(\t|$)")).first()
+        if row is not None:
+            cells = row[0].split("\t")
+            found.setdefault(tuple(cells[[c.upper() for c in cells].index("FORMAT"):]), (file, row[0]))
+    if len(found) != 1:
+        raise ValueError(f"{len(found)} different sample lists in {sorted(f for f, _ in found.values())}")
+    (_, text), = found.values()
+    return sample_list(spark.createDataFrame([(text,)], "value string"))
