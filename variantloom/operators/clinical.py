@@ -197,7 +197,7 @@ def composed_sheet(samples: DataFrame, pedigree: DataFrame, documents: DataFrame
     A sample's patient is the document whose service requests list it, or else its row of the properties. What the
     document leaves open is looked for further on: assessor and organisation in the request's impression, then in the general
     practitioner's role; the relation in the document, in the links of its proband, in the properties, and in
-    the pedigree, where another member names it as a parent. The family, sex and phenotype come from the pedigree.
+    the pedigree, where another member names it as a parent; a blank property is none. The family, sex and phenotype come from the pedigree.
 
     Nothing is dropped without a word: ``rejects`` has ``idx, specimen, reason`` of samples that are listed again,
     have no patient, or have no pedigree row. The others keep their column index. Of several pedigree rows or
@@ -225,11 +225,12 @@ def composed_sheet(samples: DataFrame, pedigree: DataFrame, documents: DataFrame
             "relation", F.col("hpo_terms").alias("phenotypes"), F.lit("document").alias("origin"))
         people = first_by_content(people, ["_id"])
     if properties is not None:
+        stated = lambda name: F.when(F.trim(name) != "", F.col(name)) if name in properties.columns else text("s")
         given = first_by_content(properties.select(
-            key("specimen").alias("_id"), F.col("patientId").alias("patient_id"), F.col("studyId").alias("study_id"),
-            F.col("practitionerId").alias("practitioner_id"), F.col("organizationId").alias("organization_id"),
-            (F.col("sequencingStrategy") if "sequencingStrategy" in properties.columns else text("s")).alias("strategy"),
-            F.col("laboName").alias("lab"), "relation", F.col("hpo_terms").alias("phenotypes"), F.lit("properties").alias("origin")), ["_id"])
+            key("specimen").alias("_id"), stated("patientId").alias("patient_id"), stated("studyId").alias("study_id"),
+            stated("practitionerId").alias("practitioner_id"), stated("organizationId").alias("organization_id"),
+            stated("sequencingStrategy").alias("strategy"), stated("laboName").alias("lab"), stated("relation").alias("relation"),
+            F.col("hpo_terms").alias("phenotypes"), F.lit("properties").alias("origin")), ["_id"])
         people = given if people is None else people.unionByName(given.join(people, "_id", "left_anti"))
         relations = given.select("_id", F.col("relation").alias("_listed"))
     else:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 
 def classify_load(extract: DataFrame, stored: DataFrame, key: str, discarded: Column) -> DataFrame:
@@ -42,3 +42,30 @@ def annotation_statistics(df: DataFrame, annotations: Column) -> DataFrame:
     return df.agg(
         F.count(F.lit(1)).alias("variants"), F.coalesce(F.sum(n), F.lit(0)).cast("bigint").alias("annotations"),
         F.avg(n).alias("average"))
+
+
+def observed_lines(rows: DataFrame, discarded: Column, unreadable: Column, records: Column) -> tuple[DataFrame, Observation]:
+    """(lines with ``status``: discarded, error or null, the counters of all lines). The counters are gathered by the pass
+    that writes or reads these lines; they are there once it has run."""
+    seen = Observation("load")
+    judged = rows.withColumn("status", F.when(discarded, "discarded").when(unreadable, "error"))
+    n = lambda s: F.count(F.when(F.col("status") == s, 1))
+    return judged.observe(
+        seen, F.count(F.lit(1)).alias("processed"), n("discarded").alias("discarded"), n("error").alias("errors"),
+        F.coalesce(F.sum(records), F.lit(0)).cast("bigint").alias("annotations")), seen
+
+
+def key_summary(lines: DataFrame, key: str, identity: str) -> DataFrame:
+    """One row per key: how many lines have it, and their least and greatest identity. Reduced before the exchange."""
+    return lines.groupBy(key).agg(
+        F.count(F.lit(1)).alias("n"), F.min(identity).alias("identity"), F.max(identity).alias("_other"))
+
+
+def against_state(summary: DataFrame, stored: DataFrame, key: str, identity: str | None = None) -> DataFrame:
+    """The summary with ``found``, the stored identity and ``collides``: another identity has the same key, in the extract
+    or in the state; case does not count."""
+    known = stored.select(key, F.col(identity).alias("stored") if identity else F.lit(None).cast("string").alias("stored"),
+                          F.lit(True).alias("_found"))
+    joined = summary.join(known, key, "left")
+    other = (F.lower("identity") != F.lower("_other")) | F.coalesce(F.lower("identity") != F.lower("stored"), F.lit(False))
+    return joined.withColumn("found", F.coalesce("_found", F.lit(False))).withColumn("collides", other).drop("_found", "_other")

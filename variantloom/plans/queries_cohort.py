@@ -7,7 +7,8 @@ import uuid
 from pyspark.sql import DataFrame, functions as F
 
 from variantloom.operators import clinical
-from variantloom.plans.bridge import BUILD, EXTRACT_HEADER, SAMPLES, Inputs
+from variantloom.plans import other_jobs
+from variantloom.plans.bridge import BUILD, EXTRACT_HEADER, RECORDS, SAMPLES, Inputs
 from variantloom.plans.queries_calls import MUTATION, PRIMARY
 from variantloom.plans.registry import query
 from variantloom.session import checkpoint_dir
@@ -85,3 +86,41 @@ SELECT upper(md5(concat({MUTATION}, '@{BUILD}'))) AS uid, substr(chrom, 4) AS co
 def _(t):
     return extract.read_extract(t.spark, written_extracts(t), BUILD).select(
         "uid", "contig", "pos", "ref", "alt", "filter", "qd", F.array_join("gt", ",").alias("gt"), F.array_join("gq", ",").alias("gq"))
+
+
+_CHECKED = f"""lines AS (SELECT l_linenumber, {MUTATION} AS mutation_id, CASE WHEN NOT ({PRIMARY}) THEN 'discarded'
+ WHEN l_linenumber = 7 AND l_returnflag = 'R' THEN 'error' END AS status FROM gx_line),
+kept AS (SELECT mutation_id, upper(md5(concat(mutation_id, '@{BUILD}'))) AS uid, l_linenumber FROM lines WHERE status IS NULL),
+stored AS (SELECT DISTINCT uid, CASE WHEN uid < '4' THEN concat(mutation_id, '+') WHEN uid < '8' THEN lower(mutation_id)
+ ELSE mutation_id END AS stored FROM kept WHERE l_linenumber <> 3)"""
+
+
+def _checked(t: Inputs) -> dict[str, DataFrame]:
+    """The lines, some with a position that is no number, against most of their variants, some stored under another id."""
+    broken = F.when((F.col("l_linenumber") == 7) & (F.col("l_returnflag") == "R"), F.regexp_replace("value", "^([^\t]*)\t[^\t]*", "$1\tx"))
+    flags = t.view("gx_line").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_returnflag").distinct()
+    lines = t.lines().join(flags, ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"])
+    lines = lines.withColumn("value", F.coalesce(broken, "value"))
+    rows = extract.with_keys(extract.parse_lines(lines, EXTRACT_HEADER, primary_only=False), BUILD)
+    stored = rows.where((F.length("contig") <= 2) & F.col("pos").isNotNull() & (F.col("l_linenumber") != 3)).select(
+        "uid", F.when(F.col("uid") < "4", F.concat("mutation_id", F.lit("+"))).when(F.col("uid") < "8", F.lower("mutation_id"))
+        .otherwise(F.col("mutation_id")).alias("mutationId")).distinct()
+    return other_jobs.load_check(rows, stored)
+
+
+@query("validation_job", f"""WITH {_CHECKED}
+SELECT (SELECT count(*) FROM lines) AS processed, count(CASE WHEN stored IS NOT NULL THEN 1 END) AS found,
+ count(CASE WHEN stored IS NULL THEN 1 END) AS not_found, (SELECT count(*) FROM lines WHERE status = 'discarded') AS discarded,
+ (SELECT count(*) FROM lines WHERE status = 'error') AS errors, (SELECT count(*) * {RECORDS} FROM lines) AS annotations,
+ (SELECT count(*) FROM lines) AS total, CASE WHEN count(CASE WHEN stored IS NULL THEN 1 END) = 0 THEN 'passed' ELSE 'failed' END AS verdict,
+ {RECORDS}.0::DOUBLE AS average
+FROM kept LEFT JOIN stored USING (uid)""", "gx_line")
+def _(t):
+    return _checked(t)["statistics"]
+
+
+@query("state_collisions", f"""WITH {_CHECKED}
+SELECT uid, count(*) AS n, min(mutation_id) AS mutation_id, min(stored) AS stored FROM kept JOIN stored USING (uid)
+WHERE lower(stored) <> lower(mutation_id) GROUP BY uid""", "gx_line")
+def _(t):
+    return _checked(t)["collisions"]

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -31,6 +33,11 @@ def _plain_path(path: Column) -> Column:
     return F.regexp_replace(path, "^([A-Za-z0-9]+):/+", "$1:/")
 
 
+def _as_path(file: str) -> str:
+    """A listed file, which is a URI, as a path to read: nothing in its name is a pattern."""
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", unquote(file))
+
+
 def is_header(value) -> F.Column:
     return F.upper(F.substring_index(value, "\t", 1)).isin("CHROM", "#CHROM")
 
@@ -100,7 +107,7 @@ BROADCAST_BYTES = 32_000_000
 def file_headers(spark: SparkSession, path: str) -> dict[str, list[str]]:
     """The header of each file. It stands in front, so one short task a file reads it, not a pass over all lines."""
     files = sorted(spark.read.text(path).inputFiles())
-    return {file: header_columns(spark.read.text(file)) for file in files}
+    return {file: header_columns(spark.read.text(_as_path(file))) for file in files}
 
 
 def with_places(lines: DataFrame, headers: dict[str, list[str]], file: str = "_file") -> DataFrame:
@@ -129,7 +136,7 @@ def read_samples(spark: SparkSession, path: str) -> DataFrame:
     """(idx, specimen) of the sample columns, from the sample header rows in front of the files, which must agree."""
     found = {}
     for file in sorted(spark.read.text(path).inputFiles()):
-        row = spark.read.text(file).where(F.upper(F.col("value")).rlike("^#CHROM\t(.*\t)?FORMAT(\t|$)")).first()
+        row = spark.read.text(_as_path(file)).where(F.upper(F.col("value")).rlike("^#CHROM\t(.*\t)?FORMAT(\t|$)")).first()
         if row is not None:
             cells = row[0].split("\t")
             found.setdefault(tuple(cells[[c.upper() for c in cells].index("FORMAT"):]), (file, row[0]))
