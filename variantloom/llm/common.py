@@ -26,12 +26,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+#: Python workers serve many stages. With a fixed threshold, blocks of a batch's size go back to the system when they are
+#: freed; by default the threshold follows the largest block and every worker keeps its peak.
+_MEMORY = {"MALLOC_MMAP_THRESHOLD_": "262144", "MALLOC_TRIM_THRESHOLD_": "1048576", "MALLOC_ARENA_MAX": "2", "ARROW_DEFAULT_MEMORY_POOL": "system"}
+
+
 def importable(spark: SparkSession) -> None:
-    """Lets Python tasks import this library from where the driver has it, whatever the working folder is."""
-    root = str(Path(__file__).resolve().parents[2])
-    paths = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
+    """Lets Python tasks import this library from where the driver has it, whatever the working folder is, and give
+    memory back that they no longer use."""
+    environment, root = spark.sparkContext.environment, str(Path(__file__).resolve().parents[2])
+    paths = environment.get("PYTHONPATH", "").split(os.pathsep)
     if root not in paths:
-        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [root, *paths]))
+        environment["PYTHONPATH"] = os.pathsep.join(filter(None, [root, *paths]))
+    for name, value in _MEMORY.items():
+        environment.setdefault(name, value)
 
 
 def work_folder(spark: SparkSession, name: str) -> str:

@@ -55,8 +55,8 @@ class _Known(dict):
 
 
 class Encoder:
-    """Byte-level BPE from a vocabulary file of ranks. Strings of the added tokens of ``tokenizer`` (a JSON file) in a
-    text are these tokens, as in that tokenizer; without it they are ordinary text.
+    """Byte-level BPE from a vocabulary file of ranks. The strings of ``added`` tokens in a text are these tokens, as in
+    a tokenizer that has them; all else is ordinary text.
 
     The pattern that cuts a text before merging never joins what stands on both sides of a single space, which
     belongs to what follows. So texts are cut at such spaces and the parts' ids are remembered."""
@@ -64,17 +64,11 @@ class Encoder:
     _uneven = re.compile(r" \s|\s ")
     _cut = re.compile(r"(?<=\S)(?= \S)")
 
-    def __init__(self, path: str, tokenizer: str | None = None) -> None:
+    def __init__(self, path: str, added: tuple[tuple[str, int], ...] = ()) -> None:
         import public_tokenizers
         import tiktoken
 
-        self._added: dict[str, bytes] = {}
-        if tokenizer:
-            with open(tokenizer, encoding="utf-8") as file:
-                added = json.load(file)["added_tokens"]
-            if any(t["single_word"] or t["lstrip"] or t["rstrip"] or t["normalized"] for t in added):
-                raise ValueError("added tokens with conditions are not supported")
-            self._added = {t["content"]: array("I", [t["id"]]).tobytes() for t in added}
+        self._added = {content: array("I", [i]).tobytes() for content, i in added}
         longest_first = sorted(self._added, key=len, reverse=True)
         self._at_added = re.compile(f"({'|'.join(map(re.escape, longest_first))})") if self._added else None
 
@@ -99,27 +93,37 @@ class Encoder:
 
 
 @lru_cache(maxsize=2)
-def encoder(path: str, tokenizer: str | None = None) -> Encoder:
-    return Encoder(path, tokenizer)
+def encoder(path: str, added: tuple[tuple[str, int], ...] = ()) -> Encoder:
+    return Encoder(path, added)
 
 
-def vocabulary() -> tuple[str, str]:
-    """The 50k byte-level vocabulary as ranks and as a tokenizer, the same on every machine that has the package."""
+def added_tokens(tokenizer: str) -> tuple[tuple[str, int], ...]:
+    """The added tokens of a tokenizer's JSON file and their ids."""
+    with open(tokenizer, encoding="utf-8") as file:
+        added = json.load(file)["added_tokens"]
+    if any(t["single_word"] or t["lstrip"] or t["rstrip"] or t["normalized"] for t in added):
+        raise ValueError("added tokens with conditions are not supported")
+    return tuple((t["content"], t["id"]) for t in added)
+
+
+def vocabulary() -> tuple[str, tuple[tuple[str, int], ...]]:
+    """The ranks of the 50k byte-level vocabulary, the same file on every machine that has the package, and the added
+    tokens of its tokenizer, which only the driver reads."""
     import public_tokenizers
 
-    return public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.path("byte_bpe_50k.json")
+    return public_tokenizers.path("byte_bpe_50k.tiktoken"), added_tokens(public_tokenizers.path("byte_bpe_50k.json"))
 
 
-def token_pieces(docs: DataFrame, paths: tuple[str, str | None] | None = None, tokens: int = SEQUENCE_TOKENS,
+def token_pieces(docs: DataFrame, using: tuple[str, tuple[tuple[str, int], ...]] | None = None, tokens: int = SEQUENCE_TOKENS,
                  keep_ids: bool = False) -> DataFrame:
     """The documents' ids in pieces: ``doc_id, piece, start, length, ids_crc32`` and, if asked for, ``ids`` (binary).
 
     A document is its text's ids and ``END_ID``; a null text is empty. Longer ones are cut so that all pieces but the
     first are full."""
-    paths, end = paths or vocabulary(), array("I", [END_ID]).tobytes()
+    using, end = using or vocabulary(), array("I", [END_ID]).tobytes()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        of = encoder(*paths)
+        of = encoder(*using)
         for batch in batches:
             sizes = [n or 0 for n in pa.compute.binary_length(batch.column(1)).to_pylist()]
             for first, last in steps(sizes):
@@ -277,13 +281,13 @@ def pack(pieces: DataFrame, tokens: int = SEQUENCE_TOKENS) -> DataFrame:
     )
 
 
-def packed_documents(docs: DataFrame, paths: tuple[str, str | None] | None = None, tokens: int = SEQUENCE_TOKENS,
+def packed_documents(docs: DataFrame, using: tuple[str, tuple[tuple[str, int], ...]] | None = None, tokens: int = SEQUENCE_TOKENS,
                      keep_ids: bool = False) -> DataFrame:
     """One row per piece with its sequence and its place there.
 
     Null and empty texts are one piece with ``END_ID`` alone; repeated rows are packed one by one; an empty table gives
     no piece. Other columns are left out."""
-    return pack(stage(token_pieces(docs, paths, tokens, keep_ids), "pieces"), tokens)
+    return pack(stage(token_pieces(docs, using, tokens, keep_ids), "pieces"), tokens)
 
 
 def sequences(packed: DataFrame) -> DataFrame:
