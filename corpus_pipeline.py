@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 
 from variantloom.llm import line_dedup, mixing, ngram_join, packing, quality_neighbours
@@ -34,9 +37,17 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.packed_documents(docs)
 
 
-STAGES = [
-    ("quality", quality), ("lines", lines), ("near_duplicates", near_duplicates), ("mix", mix), ("pack", pack),
-]
+def _ready(step: Callable[[SparkSession, DataFrame, str], DataFrame]) -> Callable[[SparkSession, DataFrame, str], DataFrame]:
+    """The stage, with its Python tasks set up; stages may be run one by one."""
+    @wraps(step)
+    def run_step(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        importable(spark)
+        return step(spark, docs, sf_dir)
+
+    return run_step
+
+
+STAGES = [(step.__name__, _ready(step)) for step in (quality, lines, near_duplicates, mix, pack)]
 
 #: The classifier, the mix and the packing have no SQL form.
 ORACLE_SQL = None
@@ -44,7 +55,6 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Applies the stages to ``documents``, each on the written result of the one before, which then goes."""
-    importable(spark)
     docs, before = table(spark, sf_dir, "documents"), None
     for name, step in STAGES:
         folder = work_folder(spark, f"pipeline-{name}")
