@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, functions as F
 
 from variantloom.functions.genotype import CARRIER, is_affected, zygosity
-from variantloom.operators import clinical as cl, genes as gn
+from variantloom.operators import clinical as cl, genes as gn, search as se
 from variantloom.plans.bridge import Inputs
 from variantloom.plans.queries_calls import z
 from variantloom.plans.registry import query
+from variantloom.session import checkpoint_dir
+from variantloom.sources.cohort import read_patients
 
 
 def _wanted_samples(t: Inputs) -> DataFrame:
@@ -36,6 +40,38 @@ def _(t):
     return cl.documents_of_samples(t.patient_documents(), _wanted_samples(t)).select("specimen", "id")
 
 
+#: The texts of a patient document, lists joined by a space.
+PATIENT_TEXT = """concat_ws(' ', concat('PA', k), concat('FA', k // 3), CASE WHEN k % 2 = 0 THEN 'female' ELSE 'male' END, concat('ET', n),
+ concat('SP', k, 'A SP', k, 'B WXS WGS'), concat('PR', n, ' PR', n, ' ci', k, 'A ci', k, 'B OR', n, ' OR', n), m, m,
+ substr(m, 1, 3), concat('L', n % 4), CASE WHEN k % 5 <> 0 THEN concat('CI', k, 'A CI', k, 'B AS', k % 17, ' AS', k % 17, ' OR', k % 7,
+ ' OR', k % 7, ' ROLE', k % 11, ' ROLE', k % 11, ' POS NEG ', CASE WHEN k % 2 = 0 THEN 'POS' ELSE 'NEG' END, ' HP ', lpad(cast(k AS string), 9, '0'),
+ ' HP ', lpad(cast(k + 1 AS string), 9, '0'), ' HP ', lpad(cast(k + 2 AS string), 9, '0'), ' HP ', lpad(cast(k + 3 AS string), 9, '0'),
+ ' term ', k, ' term ', k + 1, ' term ', k + 2, ' term ', k + 3) END, concat('ROLE', k % 11), concat('P0 P', k % 11, ' OTHER role', k % 11,
+ ' OR0 OR', k % 13), CASE WHEN k % 3 = 0 THEN concat('PA', k + 1, ' PA', k + 2, ' FTH MTH') END)"""
+#: What is asked for: a sample, a family, a phenotype, a patient, or words that half of all documents have.
+ASKED = """CASE WHEN k % 7 = 0 THEN 'Female, WGS!' WHEN k % 4 = 0 THEN concat('sP', k, 'a (Wxs)') WHEN k % 4 = 1
+ THEN concat('family fa', cast(floor(k / 3) AS bigint), ' FEMALE') WHEN k % 4 = 2 THEN concat('HP:', lpad(cast(k AS string), 9, '0'), ' term')
+ ELSE concat('pa', k, '/', 'machinery automobile') END"""
+
+
+@query("patient_text_search", f"""WITH docs AS (
+ SELECT concat('PA', k) AS id, {PATIENT_TEXT} AS body FROM (SELECT c_custkey AS k, c_nationkey AS n, c_mktsegment AS m FROM customer)),
+tf AS (SELECT id, token, count(*) AS f FROM (SELECT id, unnest(regexp_extract_all(lower(body), '[a-z0-9]+')) AS token FROM docs) GROUP BY id, token),
+weights AS (SELECT token, cast(round(1000 * ln(1 + (SELECT count(*) FROM docs) / count(*))) AS bigint) AS w FROM tf GROUP BY token),
+asked AS (SELECT DISTINCT k, {ASKED} AS body FROM (SELECT o_custkey AS k FROM orders)),
+wanted AS (SELECT DISTINCT body, unnest(regexp_extract_all(lower(body), '[a-z0-9]+')) AS token FROM asked),
+scored AS (SELECT body, id, cast(sum((2 * w * f) // (f + 1)) AS bigint) AS score FROM wanted JOIN weights USING (token) JOIN tf USING (token) GROUP BY body, id),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY body ORDER BY score DESC, id) AS place FROM scored)
+SELECT k AS asked, place AS hit, id, score FROM asked JOIN ranked USING (body) WHERE place <= 2""")
+def _(t):
+    root = f"{checkpoint_dir(t.spark)}/search-{uuid.uuid4().hex}"
+    t.patient_documents().write.json(f"{root}/patients")
+    se.write_index(read_patients(t.spark, f"{root}/patients"), "id", root)
+    asked = t.table("orders").select(F.col("o_custkey").alias("k")).distinct().selectExpr("k", f"{ASKED} AS body")
+    return se.search(root, asked, "k", "body", 2).select(
+        F.col("query").alias("asked"), F.col("rank").cast("bigint").alias("hit"), F.col("document").alias("id"), "score")
+
+
 @query("patient_hpo_terms", """
 SELECT concat('PA', cast(k AS string)) AS id, CASE WHEN k % 5 = 0 THEN '' ELSE concat_ws(',',
  concat('term ', k, ' (HP:', lpad(cast(k AS string), 9, '0'), ')'),
