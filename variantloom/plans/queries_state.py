@@ -15,6 +15,7 @@ from variantloom.plans.queries_calls import MUTATION, PRIMARY, z
 from variantloom.plans.queries_merge import _merge_sql
 from variantloom.plans.registry import query
 from variantloom.session import checkpoint_dir
+from variantloom.streaming import delta_stream
 
 #: Members of a page, so few that the given tables fill several.
 PAGE = 3
@@ -92,3 +93,28 @@ def _(t):
     found = state_store.gene_documents(_state(t), PAGE)
     return found.select("ensembl_id", "page", F.array_join("variants", ",").alias("variants"), "symbol",
                         F.array_join("alias", ",").alias("alias"))
+
+
+@query("stream_state", f"""WITH cohort AS (WITH {_merge_sql("site_id", "gx_batches")}),
+lb AS (SELECT * FROM gx_batches JOIN gx_patients USING (specimen)),
+labs AS (WITH {_merge_sql("site_id", "lb", ", lab")}),
+lab_text AS (SELECT site_id, string_agg(concat_ws(':', lab, ac, an, hc, pn), ',' ORDER BY lab) AS labs FROM labs GROUP BY site_id),
+donors AS (SELECT site_id, specimen, arg_min(gt, batch) AS gt FROM gx_batches WHERE {z()} IN ('HET', 'HOM') GROUP BY site_id, specimen),
+carriers AS (SELECT site_id, cast(count(*) AS bigint) AS donors, cast(sum(specimen) AS bigint) AS specimens,
+ cast(sum(CASE WHEN gt = '1/1' THEN 1 ELSE 0 END) AS bigint) AS homozygous FROM donors GROUP BY site_id)
+SELECT * FROM cohort LEFT JOIN lab_text USING (site_id) LEFT JOIN carriers USING (site_id)""", "gx_calls", "gx_batches", "gx_patients")
+def _(t):
+    """Both batches come as files and are merged by the stream."""
+    root = f"{checkpoint_dir(t.spark)}/stream-query-{uuid.uuid4().hex}"
+    schema = "site_id long, specimen long, gt string"
+    for number in (1, 2):
+        calls = t.view("gx_batches").where(F.col("batch") == number).selectExpr(
+            *[f"cast({c} AS {kind}) AS {c}" for c, kind in (f.split() for f in schema.split(", "))])
+        calls.write.mode("append").parquet(f"{root}/calls")
+        delta_stream.start(t.spark, f"{root}/calls", schema, f"{root}/state", laboratories=t.view("gx_patients")).awaitTermination()
+    state = delta_stream.read_state(t.spark, f"{root}/state")
+    labs = state["labs"].groupBy("site_id").agg(F.array_join(F.array_sort(F.collect_list(
+        F.concat_ws(":", "lab", "ac", "an", "hc", "pn"))), ",").alias("labs"))
+    carriers = state["donors"].groupBy("site_id").agg(
+        F.count(F.lit(1)).alias("donors"), F.sum("specimen").alias("specimens"), F.count(F.when(F.col("gt") == "1/1", 1)).alias("homozygous"))
+    return state["cohort"].join(labs, "site_id", "left").join(carriers, "site_id", "left")
