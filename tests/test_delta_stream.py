@@ -2,6 +2,7 @@
 
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from variantloom.operators import merge as m
@@ -12,6 +13,15 @@ from variantloom.streaming import delta_stream
 from test_merge import SCHEMA, as_dict, batches, brute
 
 
+@pytest.fixture(autouse=True)
+def few_partitions(spark):
+    """Many small jobs: one partition each is enough."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    yield
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def frame(spark, rows):
     return spark.createDataFrame(rows, SCHEMA).coalesce(1)
 

@@ -2,10 +2,12 @@
 
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from variantloom.operators.grouping import first_by_content, member_rank, nest_members
 from variantloom.plans import mutation_etl, state_store
+from variantloom.sources.sinks import document_member, open_members
 
 from test_extract import FIRST, SECOND, line, parsed, sheet
 
@@ -85,6 +87,34 @@ def test_a_broken_run_is_finished_by_the_next(spark, tmp_path):
     assert sorted(r["an"] for r in state["cohort"].collect()) == [2, 2, 4]
 
 
+def test_published_documents(spark, tmp_path):
+    root, out = str(tmp_path / "state"), str(tmp_path / "out")
+    state_store.publish(spark, root, out, state_store.upsert(spark, root, small(spark, range(30), "S1"), digits=1), 7)
+    before = files_of(out, "mutations")
+    touched = state_store.upsert(spark, root, small(spark, [3], "S'2"), digits=1)
+    for _ in range(2):  # again is the same
+        state_store.publish(spark, root, out, touched, 7)
+    assert len(touched["uid"]) == 1
+    others = {f: t for f, t in before.items() if touched["uid"][0] not in f}
+    assert others and others.items() <= files_of(out, "mutations").items() and set(before) != set(files_of(out, "mutations"))
+    stored = spark.read.parquet(f"{out}/mutations")
+    an = document_member("document", "bigint", "frequencies", "interne", "AN").alias("an")
+    second = document_member("document", "string", "donors", 1, "specimenId").alias("second")
+    found = stored.select("uid", an, second)
+    assert sorted((r["an"], r["second"] or "") for r in found.collect()) == [(2, "")] * 29 + [(4, "S1" if "S1" > "S'2" else "S'2")]
+    # the scan takes out the two paths, and not whole documents
+    read = found._jdf.queryExecution().explainString(found._sc._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    assert "document:struct<0:bigint,1:string>" in read
+    assert {r["key"] for r in open_members(stored, "document", "frequencies", ["uid"]).collect()} == {"interne", "L"}
+    assert stored.select(document_member("document", "bigint", "frequencies", "no 'such' key").alias("x")).where("x IS NOT NULL").count() == 0
+    with pytest.raises(ValueError):
+        document_member("document", "bigint", "a'b\"c")
+    genes = spark.read.parquet(f"{out}/genes").select("page", F.size(document_member("document", "array<string>", "variants")).alias("n")).collect()
+    assert sorted(tuple(r) for r in genes) == [(0, 7), (1, 7), (2, 7), (3, 7), (4, 2)]
+    with pytest.raises(ValueError):
+        state_store.publish(spark, str(tmp_path / "none"), out)
+
+
 def test_laboratories_named_like_the_cohort_stay(spark):
     labs = sheet(spark).withColumn("lab", F.when(F.col("idx") == 0, "interne").when(F.col("idx") == 1, "ExAC").otherwise("lab:x"))
     state = mutation_etl.flat_state(mutation_etl.mutation_documents(

@@ -15,6 +15,7 @@ from variantloom.plans.queries_calls import MUTATION, PRIMARY, z
 from variantloom.plans.queries_merge import _merge_sql
 from variantloom.plans.registry import query
 from variantloom.session import checkpoint_dir
+from variantloom.sources.sinks import document_member, open_members
 from variantloom.streaming import delta_stream
 
 #: Members of a page, so few that the given tables fill several.
@@ -42,6 +43,15 @@ def _batch(t: Inputs, number: int) -> dict[str, DataFrame]:
     }
 
 
+def _published(t: Inputs) -> str:
+    """The folder of the documents, published after each of two batches; the second overwrites its own ranges only."""
+    root = f"{checkpoint_dir(t.spark)}/documents-query-{uuid.uuid4().hex}"
+    for number in (1, 2):
+        touched = state_store.upsert(t.spark, f"{root}/state", _batch(t, number), digits=1)
+        state_store.publish(t.spark, f"{root}/state", f"{root}/documents", touched)
+    return f"{root}/documents"
+
+
 def _state(t: Inputs) -> dict[str, DataFrame]:
     """Written in two batches, read back."""
     root = f"{checkpoint_dir(t.spark)}/state-query-{uuid.uuid4().hex}"
@@ -95,6 +105,31 @@ def _(t):
                         F.array_join("alias", ",").alias("alias"))
 
 
+@query("document_variant_paths", f"""WITH keyed AS (SELECT site_id, {MUTATION} AS mutation_id FROM gx_sites WHERE {PRIMARY}),
+cohort AS (WITH {_merge_sql("site_id", "gx_batches")}), lb AS (SELECT * FROM gx_batches JOIN gx_patients USING (specimen)),
+labs AS (WITH {_merge_sql("site_id", "lb", ", lab")})
+SELECT mutation_id, c.an AS cohort_an, l.ac AS lab_ac, l.af AS lab_af FROM keyed JOIN cohort c USING (site_id)
+LEFT JOIN labs l ON l.site_id = keyed.site_id AND l.lab = 'LAB1'""", "gx_sites", "gx_calls", "gx_batches", "gx_patients")
+def _(t):
+    stored = t.spark.read.parquet(f"{_published(t)}/mutations").where("page = 0")
+    at = lambda kind, *path: document_member("document", kind, *path)
+    return stored.select(
+        at("string", "mutationId").alias("mutation_id"), at("bigint", "frequencies", "interne", "AN").alias("cohort_an"),
+        at("bigint", "frequencies", "LAB1", "AC").alias("lab_ac"), at("double", "frequencies", "LAB1", "AF").alias("lab_af"))
+
+
+@query("document_open_keys", f"""WITH keyed AS (SELECT site_id, {MUTATION} AS mutation_id FROM gx_sites WHERE {PRIMARY}),
+cohort AS (WITH {_merge_sql("site_id", "gx_batches")}), lb AS (SELECT * FROM gx_batches JOIN gx_patients USING (specimen)),
+labs AS (WITH {_merge_sql("site_id", "lb", ", lab")})
+SELECT upper(md5(concat(mutation_id, '@GRCh38'))) AS uid, name, an, af FROM keyed JOIN (
+ SELECT site_id, lab AS name, an, af FROM labs UNION ALL SELECT site_id, 'interne', an, af FROM cohort) USING (site_id)""",
+       "gx_sites", "gx_calls", "gx_batches", "gx_patients")
+def _(t):
+    stored = t.spark.read.parquet(f"{_published(t)}/mutations").where("page = 0")
+    return open_members(stored, "document", "frequencies", ["uid"]).select(
+        "uid", F.col("key").alias("name"), document_member("value", "bigint", "AN").alias("an"), document_member("value", "double", "AF").alias("af"))
+
+
 @query("stream_state", f"""WITH cohort AS (WITH {_merge_sql("site_id", "gx_batches")}),
 lb AS (SELECT * FROM gx_batches JOIN gx_patients USING (specimen)),
 labs AS (WITH {_merge_sql("site_id", "lb", ", lab")}),

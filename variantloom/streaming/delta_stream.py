@@ -49,20 +49,18 @@ def _keys(table: str, key: str) -> list[str]:
 
 def read_table(spark: SparkSession, root: str, table: str, key: str, before: int | None = None, among: DataFrame | None = None
                ) -> DataFrame | None:
-    """One table of the state; None if there is none. ``among`` keeps the rows of its keys, from each folder by itself."""
+    """One table of the state; None if there is none. ``among`` keeps the rows of its keys."""
     base, deltas = parts(spark, root, before)
 
-    def rows(kind: str, number: int) -> DataFrame:
-        found = spark.read.parquet(f"{_folder(root, kind, number)}/{table}")
+    def rows(kind: str, numbers: list[int]) -> DataFrame:
+        # one scan of all folders of a kind, whose number is the partition column
+        found = spark.read.option("basePath", root).parquet(*[f"{_folder(root, kind, n)}/{table}" for n in numbers])
         return found if among is None else found.join(among, key, "left_semi")
 
-    old = None if base is None else rows("base", base)
+    old = None if base is None else rows("base", [base]).drop("base")
     if not deltas:
         return old
-    new = None
-    for number in deltas:
-        part = rows("delta", number).withColumn("_number", F.lit(number))
-        new = part if new is None else new.unionByName(part)
+    new = rows("delta", deltas).withColumnRenamed("delta", "_number")
     if table == "donors":
         new = new.drop("_number")
     else:
