@@ -112,6 +112,58 @@ def test_kernel_sees_through_gaps():
     assert "idiot" in toxicity_kernel.sentences("an i d i o t here")[0]
 
 
+ODD_TEXTS = [
+    "", None, " \n\t ", "one", "You i-d.i_o!t are. Fine", "an i d i o t here a b\nw o r t h", "é ü ß x y. Ünï\u00a0çø\u2003dé\u3000\x1c\x85z! \u20ac\u2019s",
+    "İstanbul ΣΑΣ. ...\r\n\x0b\x0c-- \ud7ff \U0001f600 \U0001f600 \U0001f600", "z" * 60 + "idiot", ". . a ! b ? c", "a\x00b \x00",
+]
+
+
+def test_words_of_many_texts_are_those_of_each():
+    rng = random.Random(4)
+    texts = ODD_TEXTS + ["".join(rng.choice("abé .!?\n\t\u00a0\u2028-") for _ in range(rng.randrange(60))) for _ in range(400)]
+    words, of, owner = toxicity_kernel.split_words(texts)
+    assert (np.diff(of, prepend=-1) <= 1).all() and (np.diff(owner, prepend=0) <= 1).all() and (np.diff(of) >= 0).all()
+    found = [[] for _ in texts]
+    for k in owner:
+        found[k].append([])
+    bounds = np.searchsorted(of, np.arange(len(owner) + 1))
+    at = Counter()
+    for k, low, high in zip(owner, bounds, bounds[1:], strict=False):
+        found[k][at[k]] = words[low:high].to_pylist()
+        at[k] += 1
+    assert found == [toxicity_kernel.sentences(t) or [[""]] for t in texts]
+
+
+def test_only_words_with_letters_in_order_are_computed(monkeypatch):
+    computed, plain = [], toxicity_kernel.kernel
+    monkeypatch.setattr(toxicity_kernel, "kernel", lambda a, b: computed.append(len(a)) or plain(a, b))
+    found = toxicity_kernel.similarities(["toiid", "ssdolr", "idiot", "wlorsd"], ["idiot", "lords"])
+    assert (found > 0).tolist() == [[False, False], [False, False], [True, False], [False, True]]
+    assert sum(computed) == 2 + 2  # the landmarks themselves, and two pairs
+
+
+def test_a_landmark_is_as_alike_at_any_place_of_a_word():
+    units = ["z" * before + "worthless" + "z" * after for before in range(8) for after in range(8)]
+    assert (toxicity_kernel.similarities(units, ["worthless", "idiot"])[:, 0] == 1.0).all()
+
+
+def test_words_of_most_steps_stay_remembered(monkeypatch):
+    monkeypatch.setattr(toxicity_kernel, "REMEMBERED", 40)
+    rng, computed, plain = random.Random(9), Counter(), toxicity_kernel.unit_similarities
+    monkeypatch.setattr(toxicity_kernel, "unit_similarities", lambda units, marks: computed.update(units) or plain(units, marks))
+    often = ["idiot", "idioten", "table", "worthless", "worthy"]
+    texts = [" ".join(often + ["".join(rng.choice("idotwrhles") for _ in range(7)) for _ in range(rng.randrange(6, 16))]) for _ in range(60)]
+    machine = toxicity_kernel.Machine(["idiot", "worthless"], np.array([1.0, 2.0], np.float32), -0.7, np.zeros(4))
+    for text in [*texts, " ".join(f"many{i}" for i in range(100)), *texts[:5], *ODD_TEXTS]:
+        values, owner, toxic, size = machine.sentence_values([text])
+        units = toxicity_kernel.sentences(text) or [[""]]
+        each = [plain(s, machine.landmarks) for s in units]
+        assert values == pytest.approx(np.stack([v.max(axis=0) for v in each]), abs=1e-6) and owner.tolist() == [0] * len(units)
+        assert toxic.tolist() == [sum((v @ machine.weights - 0.7 > 0).sum() for v in each)] and size.tolist() == [sum(map(len, units))]
+        if text is texts[-1]:
+            assert [computed[w] for w in often] == [1] * 5
+
+
 def test_counts_equal_plain_python(docs):
     import re
 

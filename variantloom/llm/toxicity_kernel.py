@@ -10,8 +10,9 @@ harmless word may hit a landmark by chance in a long text."""
 
 from __future__ import annotations
 
+import re
 from collections import Counter
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -44,35 +45,78 @@ STRETCHES = range(4, 11)
 RATIO, DEVIATIONS = 2, 4.5
 #: Share of a landmark's letters that a word must have, in any order, to be compared with it; else they count as unlike.
 COMMON = 0.6
-#: Words whose kernel values a task remembers; then it forgets them all.
+#: Words whose kernel values a task remembers; then it forgets those that fewer steps had.
 REMEMBERED = 150_000
 STEP_CHARS = 400_000
+#: Pairs whose kernel is computed at once: their states stay in the processor's cache.
+PAIRS = 16_384
+_NO_LETTER = 2**32 - 1
 _MARKS = bytes(x for x in range(33, 127) if not chr(x).isalnum())
+#: What parts words for ``str.split``: single bytes, and what longer ones begin with.
+_SPACE = np.array([x < 128 and chr(x).isspace() for x in range(256)])
+_WIDE_SPACE = re.compile(b"\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2[\x80\x81]|\xe3\x80\x80")
+#: Bytes of a letter by its first one.
+_LETTER_BYTES = np.array([1 + (x >= 0xC0) + (x >= 0xE0) + (x >= 0xF0) for x in range(256)])
 
 
-def sentences(text: str | None) -> list[list[str]]:
-    """The words of each sentence, without their punctuation. Letters that stand alone in a row also make one word."""
+def cleaned(text: str | None) -> bytes:
+    """The text in lower case without punctuation, a line for each sentence."""
     raw = (text or "").lower().encode()
     for end in (b". ", b"! ", b"? "):
         raw = raw.replace(end, b"\n")
-    out = []
-    for line in raw.translate(None, _MARKS).decode().split("\n"):
-        found = line.split()
-        if not found:
-            continue
-        if sum(len(w) == 1 for w in found) > 2:
+    return raw.translate(None, _MARKS)
+
+
+def spelled(found: list[str]) -> list[str]:
+    """The words that letters make which stand alone in a row."""
+    out, run = [], ""
+    for w in [*found, "  "]:
+        if len(w) == 1:
+            run += w
+        else:
+            if len(run) > 2:
+                out.append(run)
             run = ""
-            for w in [*found, "  "]:
-                if len(w) == 1:
-                    run += w
-                else:
-                    if len(run) > 2:
-                        found.append(run)
-                    run = ""
-        out.append(found)
     return out
 
 
+def sentences(text: str | None) -> list[list[str]]:
+    """The words of each sentence, without their punctuation. Letters that stand alone in a row also make one word."""
+    lines = [line.split() for line in cleaned(text).decode().split("\n")]
+    return [found + spelled(found) for found in lines if found]
+
+
+def split_words(texts: Sequence[str | None]) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """The same for many texts at once: all words, the number of each word's sentence (ascending, gapless) and the
+    text of each sentence. A text without a word has one sentence with an empty one."""
+    raws = [cleaned(t) for t in texts]
+    for i, raw in enumerate(raws):
+        if _WIDE_SPACE.search(raw):
+            raws[i] = "\n".join(" ".join(line.split()) for line in raw.decode().split("\n")).encode()
+    owner = np.repeat(np.arange(len(raws)), [raw.count(b"\n") + 1 for raw in raws])
+    codes = np.frombuffer(b"".join(raw + b"\n" for raw in raws), np.uint8)
+    inside = ~_SPACE[codes]
+    edges = np.flatnonzero(np.diff(inside, prepend=False))
+    starts, ends = edges[::2], edges[1::2]
+    breaks = np.flatnonzero(codes == 10)
+    line = np.searchsorted(breaks, starts)
+    offsets = np.concatenate([[0], np.cumsum(ends - starts)]).astype(np.int32)
+    words = pa.StringArray.from_buffers(len(starts), pa.py_buffer(offsets), pa.py_buffer(codes[inside]))
+    single = np.bincount(line[ends - starts == _LETTER_BYTES[codes[starts]]], minlength=len(breaks))
+    more = [
+        (w, k) for k in np.flatnonzero(single > 2)
+        for w in spelled(codes[breaks[k - 1] + 1 if k else 0 : breaks[k]].tobytes().decode().split())
+    ]
+    blank = np.flatnonzero(np.bincount(owner[line], minlength=len(raws)) == 0)
+    more += [("", k) for k in np.searchsorted(owner, blank)]
+    if more:
+        line = np.concatenate([line, [k for _, k in more]])
+        order = np.argsort(line, kind="stable")
+        words, line = pa.concat_arrays([words, pa.array([w for w, _ in more], pa.string())]).take(pa.array(order)), line[order]
+    new = np.diff(line, prepend=-1) > 0
+    return words, np.cumsum(new) - 1, owner[line[new]]
+
+
 def padded(units: Sequence[str], width: int) -> np.ndarray:
     """Code points of the units, a row each; 0 fills up."""
     out = np.zeros((len(units), width), np.uint32)
@@ -84,64 +128,90 @@ def padded(units: Sequence[str], width: int) -> np.ndarray:
 def kernel(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """The gap-weighted subsequence kernel of each row of ``a`` with the same row of ``b`` (code points, 0 for none)."""
     n, width = b.shape
-    step = np.arange(width)
-    spread = np.where(step[None, :] >= step[:, None], DECAY ** np.maximum(0.0, step[None, :] - step[:, None]), 0.0).astype(np.float32)
-    partial = [np.ones((n, width + 1), np.float32)] + [np.zeros((n, width + 1), np.float32) for _ in range(LETTERS - 1)]
-    total = np.zeros(n, np.float32)
-    for column in range(a.shape[1]):
-        x = a[:, column]
-        same = ((x[:, None] == b) & (x[:, None] != 0)).astype(np.float32) * np.float32(DECAY**2)
-        total += (same * partial[-1][:, :-1]).sum(axis=1)
-        for k in range(LETTERS - 1, 0, -1):
-            partial[k] *= np.float32(DECAY)
-            partial[k][:, 1:] += (same * partial[k - 1][:, :-1]) @ spread
-    return total
+    a, b = np.ascontiguousarray(a.T), np.ascontiguousarray(b.T)
+    b[b == 0] = _NO_LETTER
+    decay = np.float32(DECAY)
+    # the weight of the chains of shared letters by their length and the place in b where they end, a pair in each column
+    ends = np.zeros((LETTERS - 1, width, n), np.float32)
+    total, same = np.zeros(n, np.float32), np.empty((width, n), np.float32)
+    before, longer = np.empty((LETTERS - 1, n), np.float32), np.empty((LETTERS - 1, n), np.float32)
+    for x in a:
+        np.equal(b, x, out=same)
+        ends *= decay
+        before[:] = 0
+        for j in range(width):
+            np.multiply(before, same[j], out=longer)
+            before += ends[:, j]
+            before *= decay
+            ends[0, j] += same[j]
+            ends[1:, j] += longer[:-1]
+            total += longer[-1]
+    return total * (decay * decay)
 
 
 def letter_masks(codes: np.ndarray) -> np.ndarray:
-    """Bits for letters (folded to 32 classes) that occur once, twice and three times at least: a column each."""
+    """Bits for letters (folded to 32 classes) that occur once, twice and three times at least: a row each."""
     n = len(codes)
     rows = np.repeat(np.arange(n), codes.shape[1])
     flat = codes.reshape(-1)
     at = (rows * 32 + flat % 32)[flat != 0]
     counts = np.bincount(at, minlength=n * 32).reshape(n, 32)
-    bits = np.uint32(1) << np.arange(32, dtype=np.uint32)
-    return np.stack([((counts >= k) * bits).sum(axis=1).astype(np.uint32) for k in range(1, LETTERS + 1)], axis=1)
+    return np.stack([np.packbits(counts >= k, axis=1).view(np.uint32)[:, 0] for k in range(1, LETTERS + 1)])
+
+
+def longest_chains(masks: Iterable[np.ndarray]) -> np.ndarray:
+    """Length of the longest common subsequence of pairs, by bits: for each letter of the first ones, ``masks`` tells
+    at which places of the second that letter is."""
+    free = np.uint32(2**32 - 1)
+    for mask in masks:
+        taken = free & mask
+        free = (free + taken) | (free - taken)
+    return np.bitwise_count(~free)
 
 
 def similarities(units: Sequence[str], landmarks: Sequence[str]) -> np.ndarray:
-    """Kernel of units (of at most ``WINDOW`` letters) with landmarks, as a share of the landmark's own.
+    """Kernel of units with landmarks (both of at most ``WINDOW`` letters), as a share of the landmark's own.
 
     Only pairs that have ``COMMON`` of the landmark's letters in common are computed; all others count as zero."""
-    width = max(map(len, landmarks))
-    marks = padded(landmarks, width)
+    by_size = np.argsort([len(m) for m in landmarks], kind="stable")
+    widths = np.array([len(landmarks[i]) for i in by_size])
+    marks = padded([landmarks[i] for i in by_size], widths[-1])
     own = np.maximum(kernel(marks, marks), 1e-9)
     marks_bits = letter_masks(marks)
-    least = np.maximum(LETTERS, np.ceil(COMMON * np.array([len(m) for m in landmarks]) - 1e-9))
+    places = np.zeros((len(marks), 33), np.uint32)
+    for k in range(marks.shape[1]):
+        places[np.arange(len(marks)), marks[:, k] % 32] |= (marks[:, k] != 0).astype(np.uint32) << np.uint32(k)
+    least = np.maximum(LETTERS, np.ceil(COMMON * widths - 1e-9)).astype(np.uint8)
     out = np.zeros((len(units), len(landmarks)), np.float32)
-    order = np.argsort([len(u) for u in units], kind="stable")
+    sizes = np.fromiter(map(len, units), np.int64, len(units))
+    order = np.argsort(sizes, kind="stable")
     for low in range(0, len(units), 2048):
         rows = order[low : low + 2048]
-        codes = padded([units[i] for i in rows], max(1, len(units[rows[-1]])))
-        bits = letter_masks(codes)
-        common = sum(np.bitwise_count(bits[:, None, k] & marks_bits[None, :, k]) for k in range(LETTERS))
-        i, j = np.nonzero(common >= least)
-        for first in range(0, len(i), 20_000):
-            p, q = i[first : first + 20_000], j[first : first + 20_000]
-            out[rows[p], q] = kernel(codes[p], marks[q]) / own[q]
+        codes = padded([units[i] for i in rows], max(1, sizes[rows[-1]]))
+        common = sum(np.bitwise_count(m[:, None] & u) for m, u in zip(marks_bits, letter_masks(codes), strict=True))
+        # short landmarks first, so that the pairs of a block are about as wide as each other
+        j, i = np.nonzero(common >= least[:, None])
+        letters = np.ascontiguousarray(np.where(codes, codes % 32, 32).astype(np.int64).T)
+        for first in range(0, len(i), PAIRS):
+            p, q = i[first : first + PAIRS], j[first : first + PAIRS]
+            # half of the pairs share letters, but too few in the same order: their kernel is zero
+            chained = longest_chains(places.take(q * 33 + x.take(p)) for x in letters) >= LETTERS
+            p, q = p[chained], q[chained]
+            if len(p):
+                out[rows[p], by_size[q]] = kernel(codes[p], marks[q, : widths[q[-1]]]) / own[q]
     return out
 
 
 def unit_similarities(units: Sequence[str], landmarks: Sequence[str]) -> np.ndarray:
     """The same for units of any length: the largest value of a long unit's windows."""
-    parts, owner = [], []
-    for i, unit in enumerate(units):
-        for at in range(0, max(1, len(unit) - WINDOW // 2), WINDOW // 2):
-            parts.append(unit[at : at + WINDOW])
-            owner.append(i)
-    values = similarities(parts, landmarks)
-    starts = np.flatnonzero(np.diff(owner, prepend=-1))
-    return np.maximum.reduceat(values, starts, axis=0) if len(parts) else values
+    sizes = np.fromiter(map(len, units), np.int64, len(units))
+    out = np.zeros((len(units), len(landmarks)), np.float32)
+    short = np.flatnonzero(sizes <= WINDOW)
+    out[short] = similarities([units[i] for i in short], landmarks)
+    for i in np.flatnonzero(sizes > WINDOW):
+        parts = [units[i][at : at + WINDOW] for at in range(0, sizes[i] - WINDOW // 2, WINDOW // 2)]
+        out[i] = similarities(parts, landmarks).max(axis=0)
+    return out
 
 
 @dataclass
@@ -154,42 +224,61 @@ class Machine:
     logistic: np.ndarray
     _known: dict[str, int] = field(default_factory=dict)
     _values: np.ndarray | None = None
+    #: of each known word whether it resembles any landmark, whether it is toxic by itself, and how many steps had it
+    _alike: np.ndarray | None = None
+    _toxic: np.ndarray | None = None
+    _uses: np.ndarray | None = None
 
     def __getstate__(self) -> dict:
-        return self.__dict__ | {"_known": {}, "_values": None}
+        return self.__dict__ | {"_known": {}, "_values": None, "_alike": None, "_toxic": None, "_uses": None}
+
+    def _make_room(self, wanted: int) -> None:
+        """For that many words more; of the known ones those stay that most steps had."""
+        size, known = max(REMEMBERED, wanted), list(self._known)
+        old = self._values, self._alike, self._toxic, self._uses
+        self._values = np.zeros((size, len(self.landmarks)), np.float32)
+        self._alike, self._toxic, self._uses = np.zeros(size, bool), np.zeros(size, bool), np.zeros(size, np.int32)
+        if known:
+            kept = np.argsort(-old[-1][: len(known)], kind="stable")[: min(size // 2, size - wanted)]
+            for new, values in zip((self._values, self._alike, self._toxic, self._uses), old, strict=True):
+                new[: len(kept)] = values[kept]
+            self._known = {known[k]: at for at, k in enumerate(kept)}
 
     def _rows(self, units: list[str]) -> np.ndarray:
-        new = list({u for u in units if u not in self._known})
+        """Where the values of the units, all different, are."""
+        new = [u for u in units if u not in self._known]
         if self._values is None or len(self._known) + len(new) > len(self._values):
-            self._known.clear()
-            new = list(set(units))
-            self._values = np.zeros((max(REMEMBERED, len(new)), len(self.landmarks)), np.float32)
-        at = len(self._known)
+            self._make_room(len(units))
+            new = [u for u in units if u not in self._known]
         if new:
-            self._values[at : at + len(new)] = unit_similarities(new, self.landmarks)
-            self._known.update(zip(new, range(at, at + len(new)), strict=True))
-        return np.fromiter(map(self._known.__getitem__, units), np.int64, len(units))
+            at = slice(len(self._known), len(self._known) + len(new))
+            self._values[at] = values = unit_similarities(new, self.landmarks)
+            self._alike[at] = values.any(axis=1)
+            self._toxic[at] = values @ self.weights + self.bias > 0
+            self._known.update(zip(new, range(at.start, at.stop), strict=True))
+        rows = np.fromiter(map(self._known.__getitem__, units), np.int64, len(units))
+        self._uses[rows] += 1
+        return rows
 
     def sentence_values(self, texts: Sequence[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """The largest kernel values of each sentence and its text, and those of each word and its text. A text has
-        one sentence and one word at least."""
-        units, starts, owner = [], [], []
-        for i, text in enumerate(texts):
-            for found in sentences(text) or [[""]]:
-                starts.append(len(units))
-                owner.append(i)
-                units.extend(found)
-        owner = np.array(owner)
-        words = self._values[rows] if len(rows := self._rows(units)) else np.zeros((0, len(self.landmarks)), np.float32)
-        of_word = np.repeat(owner, np.diff([*starts, len(units)]))
-        return np.maximum.reduceat(words, starts, axis=0), owner, words, of_word
+        """The largest kernel values of each sentence and its text, and the toxic words and all words of each text. A
+        text has one sentence and one word at least."""
+        words, of, owner = split_words(texts)
+        words = words.dictionary_encode()
+        rows = self._rows(words.dictionary.to_numpy(zero_copy_only=False).tolist())[words.indices.to_numpy()]
+        values = np.zeros((len(owner), len(self.landmarks)), np.float32)
+        # kernel values are never below zero: words that resemble no landmark change no sentence's largest ones
+        if (alike := self._alike[rows]).any():
+            firsts = np.flatnonzero(np.diff(of[alike], prepend=-1))
+            values[of[alike][firsts]] = np.maximum.reduceat(self._values[rows[alike]], firsts, axis=0)
+        toxic = np.bincount(owner[of], self._toxic[rows], minlength=len(texts))
+        return values, owner, toxic, np.bincount(owner[of], minlength=len(texts))
 
     def features(self, texts: Sequence[str | None]) -> np.ndarray:
         """For each text the decision on its worst sentence, the logarithms of its toxic words and of its words."""
-        values, owner, words, of_word = self.sentence_values(texts)
+        values, owner, toxic, size = self.sentence_values(texts)
         worst = np.maximum.reduceat(values @ self.weights + self.bias, np.flatnonzero(np.diff(owner, prepend=-1)))
-        toxic = np.bincount(of_word, words @ self.weights + self.bias > 0, minlength=len(texts))
-        return np.stack([worst, np.log1p(toxic), np.log1p(np.bincount(of_word, minlength=len(texts)))], axis=1).astype(float)
+        return np.stack([worst, np.log1p(toxic), np.log1p(size)], axis=1).astype(float)
 
     def score(self, texts: Sequence[str | None]) -> np.ndarray:
         if not self.landmarks:
