@@ -127,6 +127,15 @@ def test_join_of_one_large_group(spark):
     assert {r["doc_id"]: r["component_id"] for r in found} == least
 
 
+def test_join_of_chunks_without_candidates(spark):
+    """A chunk of copies of another chunk's documents, and one whose sets share nothing, send no sets."""
+    rows = [(i, " ".join(f"w{i}x{k}" for k in range(30))) for i in range(4)]
+    parts = [rows, [(10 + i, t) for i, t in rows], [(20, "nothing that stands anywhere else but here")], []]
+    docs = spark.sparkContext.parallelize(range(4), 4).flatMap(lambda n: parts[n]).toDF("doc_id long, text string")
+    found = {r["doc_id"]: r["component_id"] for r in ngram_join.joined_documents(docs).collect()}
+    assert found == {**{i: i % 10 for i, _ in [*parts[0], *parts[1]]}, 20: 20}
+
+
 def test_prefixes_meet_whatever_the_order():
     rng = np.random.default_rng(3)
     for _ in range(200):

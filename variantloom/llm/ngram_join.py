@@ -143,7 +143,7 @@ def _filter(buckets: int):
         for under each order, without the ``lone`` shingles that come before it, and how shared they are."""
         out = {c: [] for c in names}
         if not len(left) or not len(right):
-            return pd.DataFrame(out)
+            return pd.DataFrame(out, dtype=object)
         chunk, values, of, sizes = _class_sets(next(left.itertuples()), _places(right))
         answers = right[right["hashes"].notna()]
         codes = [
@@ -173,7 +173,8 @@ def _filter(buckets: int):
             out["p1"].append(orders[0][a + lone : a + longest].view(np.int64))
             for k in range(1, ORDERS):
                 out[f"p{k + 1}"].append(orders[k][a + lone : a + longest].tobytes())
-        return pd.DataFrame(out)
+        # without rows pandas would make floats of the columns, and Arrow no lists of floats
+        return pd.DataFrame(out, dtype=None if out["doc"] else object)
 
     schema = "doc long, n long, lone long, centre double, shared binary, p1 array<long>"
     return send, schema + "".join(f", p{k + 1} binary" for k in range(1, ORDERS))
