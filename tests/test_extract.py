@@ -87,6 +87,21 @@ def test_take_while_and_skip(spark):
     assert annotations(spark, "").first()["annotations"] == []
 
 
+def test_annotation_rows_equal_the_nested_form(spark):
+    for csq in (",".join([FIRST, SECOND, THIRD]), ",".join([THIRD, THIRD + "|x", FIRST]) + ",,", SECOND + "|x", ""):
+        lines = annotations(spark, csq)
+        rows = mutation_etl.annotation_rows(lines, ["uid"])
+        nested = lines.select("uid", F.inline("annotations"))
+        assert rows.columns == nested.columns
+        assert sorted(rows.collect(), key=lambda r: r["pos"]) == sorted(nested.collect(), key=lambda r: r["pos"])
+
+
+def test_annotation_rows_make_only_what_is_read(spark):
+    one = mutation_etl.annotation_rows(annotations(spark, FIRST), ["uid"]).select("uid", "consequence")
+    plan = one._jdf.queryExecution().optimizedPlan().toString()
+    assert "gnomAD" not in plan and "FATHMM" not in plan and "_transcripts" not in plan
+
+
 def test_consequence_groups_ignore_order_of_the_set(spark):
     rows = annotations(spark, ",".join([FIRST, SECOND, THIRD]))
     groups = rows.select(a.consequence_groups(F.col("annotations")).alias("g")).first()["g"]

@@ -46,13 +46,15 @@ ID_SETS = {
 
 
 def bound_once(value: Column, use) -> Column:
-    """``use`` of a value that is computed once, however often it is looked at."""
-    return F.get(F.transform(F.array(value), use), F.lit(0))
+    """``use`` of a value that is computed once, however often it is looked at. Nothing is copied, as a transform would."""
+    return F.aggregate(F.array().cast("array<int>"), value, lambda bound, _: bound, use)
 
 
 def split_records(csq: Column) -> Column:
     """Comma list of records -> array of field arrays (trailing empty records dropped)."""
-    records = F.split(F.rtrim(csq, F.lit(",")), ",")
+    # the trim looks at every character, and next to no line ends in a comma
+    trimmed = F.when(csq.endswith(","), F.rtrim(csq, F.lit(","))).otherwise(csq)
+    records = F.split(trimmed, ",")
     return F.transform(records, lambda r: F.split(r, r"\|", -1))
 
 
@@ -85,47 +87,49 @@ def consequence_set(consequence: Column) -> Column:
     return as_set(F.split(consequence, "&"))
 
 
-def transcript_predictions(fields: Column) -> Column:
-    """Per-transcript prediction structs of one record: ``&`` lists aligned by position.
+_PREDICTION_LISTS = (
+    "Ensembl_transcriptid", "FATHMM_rankscore", "FATHMM_pred", "SIFT_pred", "SIFT_rankscore", "Polyphen2_HVAR_pred",
+    "Polyphen2_HVAR_rankscore",
+)
 
-    Score lists use position 0 when the record has a single SIFT score."""
+
+def prediction_fields(fields: Column) -> Column:
+    """What the predictions of a record's transcripts are made of: its ``&`` lists, and the values that hold for all."""
 
     def raw(name: str) -> Column:
-        return fields[_AT[name]]
+        return F.get(fields, F.lit(_AT[name]))
 
     # each list is split once for the record, not once for each of its transcripts
-    names = (
-        "Ensembl_transcriptid", "FATHMM_rankscore", "FATHMM_pred", "SIFT_pred", "SIFT_rankscore", "Polyphen2_HVAR_pred",
-        "Polyphen2_HVAR_rankscore",
-    )
-    lists = F.struct(*[F.split(raw(n), "&").alias(n) for n in names])
+    lists = F.struct(*[F.split(raw(n), "&").alias(n) for n in _PREDICTION_LISTS])
     whole = F.struct(
         code_table(LRT_CODES, raw("LRT_pred")).alias("LRT_pred"), double_or_null(raw("LRT_rankscore")).alias("LRT_score"),
         double_or_null(raw("REVEL_rankscore")).alias("REVEL_score"),
         double_or_null(raw("DANN_rankscore")).alias("DANN_score"),
         double_or_null(raw("CADD_raw_rankscore")).alias("CADD_score"),
     )
+    return F.struct(lists.alias("lists"), whole.alias("whole"))
 
-    def entries(bound: Column) -> Column:
-        of, own = bound["lists"], bound["whole"]
-        single_score = F.size(of["SIFT_rankscore"]) <= 1
 
-        def one(transcript: Column, i: Column) -> Column:
-            at = F.when(single_score, F.lit(0)).otherwise(i)
-            return F.struct(
-                transcript.alias("id"),
-                double_or_null(F.get(of["FATHMM_rankscore"], at)).alias("FATHMM_score"),
-                code_table(FATHMM_CODES, F.get(of["FATHMM_pred"], i)).alias("FATHMM"),
-                code_table(SIFT_CODES, F.get(of["SIFT_pred"], i)).alias("SIFT"),
-                double_or_null(F.get(of["SIFT_rankscore"], at)).alias("SIFT_score"),
-                code_table(POLYPHEN2_HVAR_CODES, F.get(of["Polyphen2_HVAR_pred"], i)).alias("Polyphen2_HVAR_pred"),
-                double_or_null(F.get(of["Polyphen2_HVAR_rankscore"], at)).alias("Polyphen2_HVAR_score"),
-                *[own[n].alias(n) for n in ("LRT_pred", "LRT_score", "REVEL_score", "DANN_score", "CADD_score")],
-            )
+def transcript_predictions(source: Column) -> Column:
+    """Per-transcript prediction structs of one record's ``prediction_fields``: ``&`` lists aligned by position.
 
-        return F.transform(of["Ensembl_transcriptid"], one)
+    Score lists use position 0 when the record has a single SIFT score."""
+    of, own = source["lists"], source["whole"]
+    single_score = F.size(of["SIFT_rankscore"]) <= 1
+
+    def one(_: Column, i: Column) -> Column:
+        at = F.when(single_score, F.lit(0)).otherwise(i)
+        return F.struct(
+            double_or_null(F.get(of["FATHMM_rankscore"], at)).alias("FATHMM_score"),
+            code_table(FATHMM_CODES, F.get(of["FATHMM_pred"], i)).alias("FATHMM"),
+            code_table(SIFT_CODES, F.get(of["SIFT_pred"], i)).alias("SIFT"),
+            double_or_null(F.get(of["SIFT_rankscore"], at)).alias("SIFT_score"),
+            code_table(POLYPHEN2_HVAR_CODES, F.get(of["Polyphen2_HVAR_pred"], i)).alias("Polyphen2_HVAR_pred"),
+            double_or_null(F.get(of["Polyphen2_HVAR_rankscore"], at)).alias("Polyphen2_HVAR_score"),
+            *[own[n].alias(n) for n in ("LRT_pred", "LRT_score", "REVEL_score", "DANN_score", "CADD_score")],
+        )
 
-    return bound_once(F.struct(lists.alias("lists"), whole.alias("whole")), entries)
+    return F.transform(of["Ensembl_transcriptid"], one)
 
 
 def has_transcripts(fields: Column) -> Column:
@@ -137,63 +141,55 @@ def first_with_transcripts(records: Column) -> Column:
     return (F.array_position(F.transform(records, has_transcripts), F.lit(True)) - 1).cast("int")
 
 
-def prediction_table(records: Column, source: Column) -> Column:
-    """The variant's transcript predictions, taken from the record at ``source``."""
-    picked = F.filter(records, lambda _, i: i == source)
-    return F.flatten(F.transform(picked, transcript_predictions))
+def matched_predictions(records: Column, transcripts: Column, source: Column) -> Column:
+    """Per record where its transcript stands in the prediction table, whose transcripts are given last one first. The table
+    counts only from position ``source`` on."""
+    # the last entry of a transcript counts
+    return F.transform(records, lambda fields, i: F.when(
+        (source >= 0) & (i >= source) & F.array_contains(transcripts, fields[_AT["Feature"]]),
+        (F.size(transcripts) - F.array_position(transcripts, fields[_AT["Feature"]])).cast("int")))
 
 
-def matched_predictions(records: Column, predictions: Column, source: Column) -> Column:
-    """Per record the prediction entry of its transcript. The table counts only from position ``source`` on."""
-    ids = F.reverse(F.transform(predictions, lambda p: p["id"]))
+def parse_records(records: Column, matches: Column, predictions: Column, ref: Column, alt: Column) -> Column:
+    """Typed annotation structs; ``matches`` holds the place of each record's entry among the ``predictions``."""
+    return F.transform(records, lambda fields, i: F.struct(
+        *[v.alias(n) for n, v in record_members(fields, i, F.get(matches, i), predictions, ref, alt).items()]))
 
-    def look_up(ids: Column) -> Column:
-        # the last entry of a transcript counts
-        return F.transform(records, lambda fields, i: F.when(
-            (source >= 0) & (i >= source) & F.array_contains(ids, fields[_AT["Feature"]]),
-            F.get(predictions, (F.size(ids) - F.array_position(ids, fields[_AT["Feature"]])).cast("int"))))
 
-    return bound_once(ids, look_up)
+def record_members(fields: Column, i: Column, match: Column, predictions: Column, ref: Column, alt: Column) -> dict[str, Column]:
+    """The members of the typed annotation of the record at ``i``."""
 
+    def raw(name: str) -> Column:
+        return fields[_AT[name]]
 
-def parse_records(records: Column, matches: Column, ref: Column, alt: Column) -> Column:
-    """Typed annotation structs; ``matches`` holds each record's prediction entry."""
-
-    def one(fields: Column, i: Column) -> Column:
-        match = F.get(matches, i)
-
-        def raw(name: str) -> Column:
-            return fields[_AT[name]]
-
-        feature = raw("Feature")
-        symbol = text_or_null(raw("SYMBOL"))
-        return F.struct(
-            i.alias("pos"),
-            symbol.alias("symbol"),
-            text_or_null(raw("Gene")).alias("gene_id"),
-            F.when(match["id"].isNotNull(), text_or_null(
-                amino_acid_change(raw("Amino_acids"), raw("Protein_position")))).alias("aa_change"),
-            consequence_set(raw("Consequence")).alias("consequence"),
-            coding_change(raw("CDS_position"), ref, alt).alias("cdna_change"),
-            long_or_null(raw("STRAND")).alias("strand"),
-            text_or_null(raw("IMPACT")).alias("impact"),
-            text_or_null(raw("BIOTYPE")).alias("biotype"),
-            text_or_null(raw("Feature_type")).alias("feature_type"),
-            text_or_null(feature).alias("feature_id"),
-            text_or_null(raw("EXON")).alias("exon"),
-            text_or_null(raw("PICK")).alias("pick"),
-            yes_flag(raw("CANONICAL")).alias("canonical"),
-            text_or_null(raw("RefSeq")).alias("refseq_id"),
-            text_or_null(raw("clinvar_OMIM")).alias("clinvar_omim"),
-            text_or_null(raw("clinvar_Orphanet")).alias("clinvar_orphanet"),
-            double_or_null(raw("phyloP17way_primate_rankscore")).alias("phylop17way"),
-            F.when(match["CADD_score"].isNotNull(), match.dropFields("id")).alias("predictions"),
-            F.struct(*[
-                frequency_struct(raw(ac), raw(af)).alias(name) for name, (ac, af) in POPULATIONS.items()
-            ]).alias("populations"),
-        )
-
-    return F.transform(records, one)
+    entry = F.get(predictions, match)
+    feature = raw("Feature")
+    symbol = text_or_null(raw("SYMBOL"))
+    return {
+        "pos": i,
+        "symbol": symbol,
+        "gene_id": text_or_null(raw("Gene")),
+        "aa_change": F.when(match.isNotNull(), text_or_null(
+            amino_acid_change(raw("Amino_acids"), raw("Protein_position")))),
+        "consequence": consequence_set(raw("Consequence")),
+        "cdna_change": coding_change(raw("CDS_position"), ref, alt),
+        "strand": long_or_null(raw("STRAND")),
+        "impact": text_or_null(raw("IMPACT")),
+        "biotype": text_or_null(raw("BIOTYPE")),
+        "feature_type": text_or_null(raw("Feature_type")),
+        "feature_id": text_or_null(feature),
+        "exon": text_or_null(raw("EXON")),
+        "pick": text_or_null(raw("PICK")),
+        "canonical": yes_flag(raw("CANONICAL")),
+        "refseq_id": text_or_null(raw("RefSeq")),
+        "clinvar_omim": text_or_null(raw("clinvar_OMIM")),
+        "clinvar_orphanet": text_or_null(raw("clinvar_Orphanet")),
+        "phylop17way": double_or_null(raw("phyloP17way_primate_rankscore")),
+        "predictions": F.when(entry["CADD_score"].isNotNull(), entry),
+        "populations": F.struct(*[
+            frequency_struct(raw(ac), raw(af)).alias(name) for name, (ac, af) in POPULATIONS.items()
+        ]),
+    }
 
 
 def id_sets(records: Column) -> Column:

@@ -8,7 +8,7 @@ _NUMBER = r"^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$"
 
 
 def text_or_null(value: Column) -> Column:
-    return F.when((value != "") & (value != "."), value)
+    return F.when(~value.isin("", "."), value)
 
 
 def _numeric(value: Column) -> Column:

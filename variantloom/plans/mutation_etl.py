@@ -24,7 +24,8 @@ COUNTS = ("AC", "AN", "HC", "PN")
 
 
 def with_annotations(rows: DataFrame, stop_at_malformed: bool = True) -> DataFrame:
-    """Adds ``records`` (field arrays) and ``annotations`` (typed structs) to lines with ``csq``, ``ref``, ``alt``.
+    """Adds ``records`` (field arrays) and ``annotations`` (typed structs) to lines with ``csq``, ``ref``, ``alt``, and what
+    ``annotation_rows`` needs besides: the variant's ``predictions`` and each record's place among them in ``matches``.
 
     Each step is its own projection, so a record is split once however many results use it."""
     keep = a.take_while_well_formed if stop_at_malformed else a.only_well_formed
@@ -32,14 +33,28 @@ def with_annotations(rows: DataFrame, stop_at_malformed: bool = True) -> DataFra
         rows.withColumn("_all", a.split_records(F.col("csq")))
         .withColumn("records", keep(F.col("_all"))).drop("_all")
         .withColumn("_source", a.first_with_transcripts(F.col("records")))
-        .withColumn("_predictions", a.prediction_table(F.col("records"), F.col("_source")))
-        .withColumn("_matches", a.matched_predictions(F.col("records"), F.col("_predictions"), F.col("_source")))
-        .drop("_source", "_predictions")
-        .withColumn("annotations", a.parse_records(F.col("records"), F.col("_matches"), F.col("ref"), F.col("alt")))
-        .drop("_matches")
+        .withColumn("_own", a.prediction_fields(F.get("records", F.col("_source"))))
+        .withColumns({
+            "predictions": a.transcript_predictions(F.col("_own")),
+            "_transcripts": F.reverse(F.col("_own.lists.Ensembl_transcriptid")),
+        }).drop("_own")
+        .withColumn("matches", a.matched_predictions(F.col("records"), F.col("_transcripts"), F.col("_source")))
+        .drop("_source", "_transcripts")
+        .withColumn("annotations", a.parse_records(*map(F.col, ("records", "matches", "predictions", "ref", "alt"))))
     )
 
 
+def annotation_rows(annotated: DataFrame, keep: Sequence[str]) -> DataFrame:
+    """One row per annotation of ``with_annotations``, behind the columns to keep: the same members, but made of the records'
+    own rows. There they are compiled code, and members that are not read are not made."""
+    each = annotated.select(
+        *keep, *[F.col(c).alias(f"_{c}") for c in ("ref", "alt", "predictions", "matches")],
+        F.posexplode_outer("records").alias("_at", "_fields")).where(F.col("_at").isNotNull())
+    members = a.record_members(
+        F.col("_fields"), F.col("_at"), F.get("_matches", F.col("_at")), F.col("_predictions"), F.col("_ref"), F.col("_alt"))
+    return each.select(*keep, *[value.alias(name) for name, value in members.items()])
+
+
 def _population_entries(populations: Column) -> Column:
     none = F.lit(None).cast("bigint")
     entries = F.array(*[

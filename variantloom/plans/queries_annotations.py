@@ -11,7 +11,7 @@ from variantloom.operators import genes as gn
 from variantloom.operators.grouping import nest, settled, unnest
 from variantloom.operators.validation import annotation_statistics
 from variantloom.plans.bridge import EXTRACT_HEADER, RECORDS, Inputs
-from variantloom.plans.mutation_etl import with_annotations
+from variantloom.plans.mutation_etl import annotation_rows, with_annotations
 from variantloom.plans.registry import query
 from variantloom.sources import extract
 
@@ -136,7 +136,7 @@ def _(t):
 SELECT {KEYS}, pos, symbol, gene_id, consequence, impact, strand, biotype, feature_id, exon, pick, canonical, refseq_id,
  phylop17way FROM rec""", "gx_line")
 def _(t):
-    return unnest(annotated(t), LINE, "annotations", "pos").select(
+    return annotation_rows(annotated(t), LINE).select(
         *LINE, "pos", "symbol", "gene_id", _joined(F.col("consequence")).alias("consequence"), "impact", "strand",
         "biotype", "feature_id", "exon", "pick", "canonical", "refseq_id", "phylop17way")
 
@@ -208,7 +208,7 @@ SELECT {KEYS}, pos, CASE WHEN pos = 0 OR l_linenumber % 3 = 0 THEN 0.1 ELSE 0.2
  CASE pos WHEN 0 THEN 'BENIGN' ELSE 'POSSIBLY DAMAGING' END AS polyphen2_hvar, 'NEUTRAL' AS lrt, cadd
 FROM rec WHERE matched AND cadd IS NOT NULL""", "gx_line")
 def _(t):
-    rows = unnest(annotated(t), LINE, "annotations", "pos").where("predictions IS NOT NULL")
+    rows = annotation_rows(annotated(t), LINE).where("predictions IS NOT NULL")
     p = lambda name: F.col(f"predictions.{name}")
     return rows.select(
         *LINE, "pos", p("FATHMM_score").alias("fathmm_score"), p("FATHMM").alias("fathmm"), p("SIFT").alias("sift"),
@@ -218,7 +218,7 @@ def _(t):
 
 @query("protein_coding_change", f"""WITH {KEPT_RECORDS} SELECT {KEYS}, pos, aa_change, cdna_change FROM rec""", "gx_line")
 def _(t):
-    return unnest(annotated(t), LINE, "annotations", "pos").select(*LINE, "pos", "aa_change", "cdna_change")
+    return annotation_rows(annotated(t), LINE).select(*LINE, "pos", "aa_change", "cdna_change")
 
 
 @query("annotation_stats", f"""WITH {KEPT_RECORDS}
