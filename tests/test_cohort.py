@@ -1,12 +1,15 @@
 """Composed cohorts, extracts of several files, the load check, and the whole job from files."""
 
+import glob
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
 
 from variantloom.operators import clinical
-from variantloom.plans import other_jobs, state_store
+from variantloom.plans import other_jobs, queries_cohort, state_store
+from variantloom.plans.bridge import Inputs
 from variantloom.schemas import PEDIGREE
 from variantloom.sources import extract
 
@@ -99,3 +102,25 @@ def test_load_check_counts_in_the_pass_that_reads(spark):
                    "verdict": "failed", "average": 1.4}
     assert [(r["uid"][:4], r["n"]) for r in found["duplicates"].collect()] == [("24CF", 2)]
     assert [(r["mutation_id"], r["stored"]) for r in found["collisions"].collect()] == [("chr1:g.69511A>G", "CHR1:g.69511A>T")]
+
+
+DATA = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+needs_data = pytest.mark.skipif(not os.path.isdir(DATA), reason="no test tables")
+
+
+@needs_data
+def test_extract_files_are_small_beside_their_text(spark):
+    t = Inputs(spark, DATA)
+    files = glob.glob(f"{queries_cohort.written_extracts(t).removeprefix('file:')}/*.csv*")
+    text = t.lines().agg(F.sum(F.length("value"))).first()[0]
+    assert len(extract.file_headers(spark, os.path.dirname(files[0]))) >= 1
+    assert sum(map(os.path.getsize, files)) < text / 4
+
+
+@needs_data
+def test_no_line_is_joined_before_the_load_check(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(other_jobs, "load_check", lambda rows, stored: seen.append(rows) or {})
+    queries_cohort._checked(Inputs(spark, DATA))
+    plan = seen[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and "Aggregate" not in plan

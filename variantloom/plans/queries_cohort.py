@@ -69,13 +69,18 @@ def _(t):
     return _composed(t)[1]
 
 
+#: Lines of an extract file, about, where there are many.
+FILE_LINES = 500_000
+
+
 def written_extracts(t: Inputs) -> str:
-    """The extract lines as files, half of them with another order of columns, each file with its header."""
+    """The extract lines as compressed files, half of them with another order of columns, each file with its header."""
     root = f"{checkpoint_dir(t.spark)}/extracts-{uuid.uuid4().hex}"
+    files = max(4, t.table("lineitem").count() // 2 // FILE_LINES)
     cells = t.lines().select("l_linenumber", F.split("value", "\t").alias("c"))
     for part, order in enumerate((EXTRACT_HEADER, EXTRACT_HEADER[:1] + EXTRACT_HEADER[:0:-1])):
         rows = cells.where(F.col("l_linenumber") % 2 == part).select(*[F.col("c")[EXTRACT_HEADER.index(n)].alias(n) for n in order])
-        rows.coalesce(4).write.csv(f"{root}/part={part}", sep="\t", header=True, quote="")
+        rows.coalesce(files).write.csv(f"{root}/part={part}", sep="\t", header=True, quote="", compression="gzip")
     return f"{root}/part=*"
 
 
