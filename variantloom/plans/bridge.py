@@ -294,8 +294,8 @@ class Inputs:
         needed |= {n: self.view(n) for n in VIEWS if f"{{{n}}}" in text}
         return self.spark.sql(text, **needed)
 
-    def lines(self) -> DataFrame:
-        """Tab-separated extract lines with their order-line keys."""
+    def lines(self, *carry: str) -> DataFrame:
+        """Tab-separated extract lines with their order-line keys, and with other columns of their order lines."""
         samples = range(SAMPLES)
         depth = [
             f"CASE WHEN {_SHORT} AND g{i} = './.' THEN {_text(f'r{i}')} ELSE concat({_text(f'r{i}')}, ',', {_text(f'a{i}')}) END"
@@ -312,7 +312,7 @@ class Inputs:
         line = ", ".join(cells.get(name, "'.'") for name in EXTRACT_HEADER)
         # a generated column, so that filters on the text are not pushed into its assembly
         return self.view("gx_line").selectExpr(
-            "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice",
+            "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", *carry,
             f"explode_outer({_outside_codegen(line)}) AS value")
 
     def legacy_lines(self) -> DataFrame:

@@ -103,9 +103,7 @@ stored AS (SELECT DISTINCT uid, CASE WHEN uid < '4' THEN concat(mutation_id, '+'
 def _checked(t: Inputs) -> dict[str, DataFrame]:
     """The lines, some with a position that is no number, against most of their variants, some stored under another id."""
     broken = F.when((F.col("l_linenumber") == 7) & (F.col("l_returnflag") == "R"), F.regexp_replace("value", "^([^\t]*)\t[^\t]*", "$1\tx"))
-    flags = t.view("gx_line").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_returnflag").distinct()
-    lines = t.lines().join(flags, ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"])
-    lines = lines.withColumn("value", F.coalesce(broken, "value"))
+    lines = t.lines("l_returnflag").withColumn("value", F.coalesce(broken, "value"))
     rows = extract.with_keys(extract.parse_lines(lines, EXTRACT_HEADER, primary_only=False), BUILD)
     stored = rows.where((F.length("contig") <= 2) & F.col("pos").isNotNull() & (F.col("l_linenumber") != 3)).select(
         "uid", F.when(F.col("uid") < "4", F.concat("mutation_id", F.lit("+"))).when(F.col("uid") < "8", F.lower("mutation_id"))
