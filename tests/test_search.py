@@ -60,6 +60,19 @@ def test_frequent_words_lose_no_hit(spark, tmp_path):
     assert got == brute(rows, queries, 1) and {(q, d) for q, _, d, _ in got} == {("q", "B"), ("ties", "B")}
 
 
+def test_names_of_one_document_share_their_other_words(spark, tmp_path, monkeypatch):
+    """Each query has a word that one document has, and two that many have: the many are searched once for all queries."""
+    draw = random.Random(3)
+    rows = [(f"D{i:03d}", f"own{i} " + " ".join(draw.choices(["usual", "often", "w1", "w2"], k=5)), 1, None, None, None) for i in range(60)]
+    queries = [(f"q{i}", f"own{i} own{i + 1} usual often") for i in range(0, 60, 2)] + [(f"r{i}", f"own{i} often") for i in range(60)]
+    calls, best = [], se._best_documents
+    monkeypatch.setattr(se, "_best_documents", lambda terms, *rest: calls.append(terms.select("wanted").distinct().count()) or best(terms, *rest))
+    monkeypatch.setattr(se, "SHARED", 2)
+    assert found(spark, tmp_path, rows, queries, 3) == brute(rows, queries, 3)
+    # without their rarest word the first queries still differ, then there are two sets of words
+    assert calls == [90, 31, 1]
+
+
 def test_search_in_some_fields(spark, tmp_path):
     rows = [("A", "heart", 1, None, [("lung", ["heart"])], None), ("B", "lung", 1, None, None, None)]
     assert {(q, d) for q, _, d, _ in found(spark, tmp_path, rows, [("q", "Lung")], 5, fields=["name"])} == {("q", "B")}

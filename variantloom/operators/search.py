@@ -6,11 +6,13 @@ documents that have the token, and ``n`` is how often the document has it. Whole
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from pyspark.sql import types as T
 
+from variantloom.session import checkpoint_dir
 from variantloom.sources.sinks import write_table
 
 _LEFT_OUT = (T.BooleanType, T.BinaryType, T.VariantType, T.NullType)
@@ -92,12 +94,27 @@ def search(root: str, queries: DataFrame, query: str, text: str, hits: int = 1,
         F.col(query).alias("query"), F.array_sort(F.array_distinct(tokens_of(F.col(text)))).alias("tokens")).distinct()
     asked = asked.withColumn("wanted", F.sha2(F.array_join("tokens", " "), 256))
     tokens = spark.read.schema("token string, documents bigint, most bigint, weight bigint").parquet(f"{root}/tokens")
-    # ordered within a query's own tokens
-    rarest = Window.partitionBy("wanted").orderBy("documents", "token")
     terms = asked.select("wanted", F.explode("tokens").alias("token")).distinct().join(tokens, "token")
-    terms = terms.withColumn("place", F.row_number().over(rarest)).withColumn(
-        "rest", F.sum("most").over(rarest.rowsBetween(Window.currentRow, Window.unboundedFollowing)))
     counts = _counts(spark, root) if fields is None else _added_up(_postings(spark, root).where(F.col("field").isin(*fields)))
+    out = _best_documents(terms, counts, hits, f"{checkpoint_dir(spark)}/search-{uuid.uuid4().hex}")
+    return asked.select("query", "wanted").join(out, "wanted").select("query", "rank", "document", "score")
+
+
+#: Documents of a rarest token up to which what the other tokens find is searched once for all queries that have these.
+SHARED = 64
+
+
+def _best_documents(terms: DataFrame, counts: DataFrame, hits: int, work: str) -> DataFrame:
+    """``wanted, rank, document, score`` for the tokens of each wanted set; ``work`` is a folder for what is read again.
+
+    Queries by a name that few documents have differ in that token only. What their other tokens alone find is one list for all
+    of them, as long as the hits and the documents of the rarest token together: without those it still holds enough."""
+    spark = terms.sparkSession
+    # ordered within a query's own tokens
+    rarest = Window.partitionBy("wanted").orderBy("documents", "token")
+    write_table(terms.withColumn("place", F.row_number().over(rarest)).withColumn(
+        "rest", F.sum("most").over(rarest.rowsBetween(Window.currentRow, Window.unboundedFollowing))), f"{work}/terms")
+    terms = spark.read.schema("wanted string, token string, documents bigint, most bigint, weight bigint, place int, rest bigint").parquet(f"{work}/terms")
     listed = counts.select("token", "document")
 
     def scored(pairs: DataFrame) -> DataFrame:
@@ -109,10 +126,21 @@ def search(root: str, queries: DataFrame, query: str, text: str, hits: int = 1,
         return rows.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= hits)
 
     first = scored(terms.where("place = 1").select("wanted", "token").join(listed, "token").select("wanted", "document"))
-    found = best(first)
+    write_table(best(first).drop("rank"), f"{work}/found")
+    found = spark.read.schema("wanted string, document string, score bigint").parquet(f"{work}/found")
     bound = found.groupBy("wanted").agg(F.when(F.count(F.lit(1)) >= hits, F.min("score")).otherwise(0).alias("bound"))
-    needed = terms.where("place > 1").join(bound, "wanted").where(F.col("rest") >= F.col("bound"))
-    more = needed.select("wanted", "token").join(listed, "token").select("wanted", "document").distinct()
-    # documents with the rarest token may come again here; they get the same score
-    out = best(found.drop("rank").unionByName(scored(more)).distinct())
-    return asked.select("query", "wanted").join(out, "wanted").select("query", "rank", "document", "score")
+    needed = terms.where("place > 1").join(bound, "wanted", "left").where(F.col("rest") >= F.coalesce("bound", F.lit(0)))
+    few = terms.where((F.col("place") == 1) & (F.col("documents") <= SHARED)).select("wanted")
+    own = needed.join(few, "wanted", "left_anti").select("wanted", "token")
+    out = found.unionByName(scored(own.join(listed, "token").select("wanted", "document").distinct()))
+
+    others = terms.where("place > 1").join(needed.join(few, "wanted", "left_semi").select("wanted").distinct(), "wanted", "left_semi")
+    sets = others.groupBy("wanted").agg(F.sha2(F.array_join(F.array_sort(F.collect_list("token")), " "), 256).alias("_others"))
+    write_table(sets, f"{work}/sets")
+    sets = spark.read.schema("wanted string, _others string").parquet(f"{work}/sets")
+    if not sets.isEmpty():
+        rest = others.join(sets, "wanted").select(F.col("_others").alias("wanted"), "token", "documents", "most", "weight").distinct()
+        more = _best_documents(rest, counts, hits + SHARED, f"{work}/others").withColumnRenamed("wanted", "_others")
+        # a document with the rarest token may come again here with a part of its score
+        out = out.unionByName(sets.join(more, "_others").select("wanted", "document", "score"))
+    return best(out.groupBy("wanted", "document").agg(F.max("score").alias("score"))).select("wanted", "rank", "document", "score")
